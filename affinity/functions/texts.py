@@ -44,17 +44,23 @@ def year(text: Column, pattern: str = FOUR_DIGITS) -> Column:
     return F.regexp_extract(text, pattern, 1).try_cast("int")
 
 
+def _grams(parts: Column, k: int, sep: str) -> Column:
+    """Distinct runs of k neighbours: the array zipped with its own shifts, in linear time."""
+    n = F.greatest(F.size(parts) - (k - 1), F.lit(0))
+    runs = F.slice(parts, F.lit(1), n)
+    for j in range(1, k):
+        runs = F.zip_with(runs, F.slice(parts, F.lit(j + 1), n), lambda x, y: F.concat(x, F.lit(sep), y))
+    return F.array_distinct(runs)
+
+
 def char_grams(text: Column, k: int) -> Column:
     """The set of character k-grams."""
-    grams = F.transform(F.sequence(F.lit(1), F.length(text) - (k - 1)), lambda i: F.substring(text, i, F.lit(k)))
-    return F.when(F.length(text) >= k, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
+    return _grams(F.filter(F.split(text, ""), lambda c: c != ""), k, "")
 
 
 def word_grams(text: Column, k: int) -> Column:
     """The set of word k-grams, words split at whitespace."""
-    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
-    grams = F.transform(F.sequence(F.lit(1), F.size(words) - (k - 1)), lambda i: F.array_join(F.slice(words, i, F.lit(k)), " "))
-    return F.when(F.size(words) >= k, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
+    return _grams(F.filter(F.split(text, r"\s+"), lambda w: w != ""), k, " ")
 
 
 def search_words(text: Column) -> Column:

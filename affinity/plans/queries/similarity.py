@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.ml.feature import IDF, BucketedRandomProjectionLSH, HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.functions import arrays, hashing, scalars, texts
@@ -101,7 +101,7 @@ def brp_neighbours(spark, sf):
 def brp_join(spark, sf):
     """Approximate pairs within a distance; the bucket is as wide as the distance asked for."""
     p, model = projected(spark, sf, 0.1)
-    pairs = model.approxSimilarityJoin(p, p, 1.0, distCol="distance")
+    pairs = model.approxSimilarityJoin(p, p, 1.2, distCol="distance")
     return pairs.select(F.col("datasetA.id").alias("a"), F.col("datasetB.id").alias("b"), F.round("distance", 6).alias("distance")).filter("a < b")
 
 
@@ -211,7 +211,6 @@ x AS MATERIALIZED (SELECT id, {HASH32} % {sg.PRIME} AS x FROM {source}),
 sig AS MATERIALIZED (SELECT trial, id, slot, min((a * x + b) % {sg.PRIME}) AS value FROM x, family GROUP BY ALL)"""
 
 
-GRAM_HASH = hashing.hash32
 SLOTS = 100
 
 
@@ -312,10 +311,6 @@ def s_curve(spark, sf):
                        F.round(scalars.lsh_threshold(F.col("n_rows"), F.col("n_bands")), 6).alias("threshold"))
 
 
-def confusion_sql(est: str, truth: str) -> str:
-    return f"""(SELECT coalesce(sum(weight) FILTER (WHERE t.a IS NULL), 0)::BIGINT AS false_pos FROM {est} e LEFT JOIN {truth} t USING (a, b))"""
-
-
 @query("minhash_errors", f"""WITH {EST_SQL}, {exact_sql(0.5)},
 e AS (SELECT a, b, p.n_copies * q.n_copies AS weight FROM est JOIN reps p ON p.id = a JOIN reps q ON q.id = b WHERE shared / {SLOTS} >= 0.5)
 SELECT (SELECT coalesce(sum(weight), 0)::BIGINT FROM e ANTI JOIN exact USING (a, b)) AS false_pos,

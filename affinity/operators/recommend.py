@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.functions.scalars import clamp, ratio
 from affinity.operators import overlap
-from affinity.operators.relational import top_k
+from affinity.operators.relational import dense_index, top_k
 from affinity.operators.scoring import top_k_by_dot
 
 LIKED_FROM = 4.0
@@ -19,8 +19,7 @@ def tag_vocabulary(tags: DataFrame) -> DataFrame:
     """(tag, idx, idf): consecutive indices and smoothed IDF of the tag list."""
     n = tags.agg(F.count_distinct("item_id").alias("n")).scalar()
     df = tags.groupBy("tag").agg(F.count(F.lit(1)).alias("df"))
-    # One row per tag: a vocabulary, not the tag table.
-    indexed = df.withColumn("idx", F.row_number().over(Window.orderBy("tag")) - 1)
+    indexed = df.join(dense_index(df, "tag", "idx"), "tag")
     return indexed.select("tag", "idx", F.log((n + 1.0) / (F.col("df") + 1.0)).alias("idf"))
 
 

@@ -118,8 +118,7 @@ def graph_summary(spark, sf):
     return s.select("n_nodes", "n_edges", *[F.round(c, 9).alias(c) for c in ("density", "mean_rank", "sd_rank", "min_rank", "max_rank")])
 
 
-# Suppliers joined to the nation of each customer they share a line with would be one
-# component; chains of close first days make several.
+# Chains of close first days make several components.
 CHAIN = 2
 CHAIN_SQL = f"""{views.FIRSTS_SQL}, k AS MATERIALIZED (SELECT CAST(substr(author, 10) AS BIGINT) AS id, first_day FROM firsts),
 marked AS (SELECT id, first_day, CASE WHEN first_day - lag(first_day) OVER (ORDER BY first_day, id) <= {CHAIN} THEN 0 ELSE 1 END AS fresh FROM k),
@@ -137,8 +136,14 @@ def components(spark, sf):
     return graph.connected_components(same.unionByName(near), k.select("id"))
 
 
-@query("components_edges", f"""WITH {E}, nodes AS (SELECT src AS id FROM edges UNION SELECT dst FROM edges)
-SELECT count(*) AS n_nodes, min(id) AS component FROM nodes""")
+def labels_sql(rounds: int) -> str:
+    parts = ["l0 AS MATERIALIZED (SELECT src AS id, src AS label FROM edges UNION SELECT dst, dst FROM edges)",
+             "sym AS MATERIALIZED (SELECT src, dst FROM edges UNION SELECT dst, src FROM edges)"]
+    parts += [f"l{i} AS MATERIALIZED (SELECT p.id, least(p.label, min(q.label)) AS label FROM l{i - 1} p JOIN sym ON src = p.id JOIN l{i - 1} q ON q.id = dst GROUP BY p.id, p.label)" for i in range(1, rounds + 1)]
+    return ",\n".join(parts)
+
+
+@query("components_edges", f"WITH {E}, {labels_sql(8)} SELECT label AS component, count(*) AS n_nodes FROM l8 GROUP BY 1")
 def components_edges(spark, sf):
     """Component sizes of the purchase graph (it is connected)."""
     c = graph.connected_components(views.edges(spark, sf))

@@ -36,9 +36,9 @@ def greedy_top_k(spark, sf):
     return policy.greedy(policy.arm_stats(pulls(spark, sf)), 5).select("arm", "score")
 
 
-EPS_SQL = f"""{STATS_SQL}, numbered AS (SELECT arm, row_number() OVER (ORDER BY arm) - 1 AS at FROM stats), best AS (SELECT arm AS best FROM stats ORDER BY round(mean, 9) DESC, arm LIMIT 1),
-drawn AS (SELECT event_id AS id, {views.uniform_sql("'42'", "'explore'", "event_id")} < 0.1 AS explored, CAST(floor({views.uniform_sql("'42'", "'arm'", "event_id")} * (SELECT count(*) FROM stats)) AS BIGINT) AS at FROM events),
-served AS MATERIALIZED (SELECT id, explored, CASE WHEN explored THEN arm ELSE best END AS arm FROM drawn LEFT JOIN numbered USING (at), best)"""
+EPS_SQL = f"""{STATS_SQL}, numbered AS (SELECT arm, row_number() OVER (ORDER BY arm) - 1 AS pos FROM stats), best AS (SELECT arm AS best FROM stats ORDER BY round(mean, 9) DESC, arm LIMIT 1),
+drawn AS (SELECT event_id AS id, {views.uniform_sql("'42'", "'explore'", "event_id")} < 0.1 AS explored, CAST(floor({views.uniform_sql("'42'", "'arm'", "event_id")} * (SELECT count(*) FROM stats)) AS BIGINT) AS pos FROM events),
+served AS MATERIALIZED (SELECT id, explored, CASE WHEN explored THEN arm ELSE best END AS arm FROM drawn LEFT JOIN numbered USING (pos), best)"""
 
 
 def served(spark, sf):

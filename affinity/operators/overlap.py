@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from affinity.sources.scratch import materialize
 
 EPSILON = 1e-9
+HOT_FAN_OUT = 2000  # rows an element may meet per member row in a plain join
+LOW_THRESHOLD = 0.2
 
 
 def copy_groups(members: DataFrame, id_col: str = "id", elem: str = "elem") -> DataFrame:
@@ -115,13 +117,18 @@ def shared_sums(
 
 
 def jaccard_pairs(members: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, n_a, n_b, shared, jaccard) for pairs at or above a threshold > 0."""
+    """(a, b, n_a, n_b, shared, jaccard) for pairs at or above a threshold > 0.
+
+    A low threshold lets an id leave out so little that the plain join is
+    cheaper, unless there is a hot element.
+    """
     t = F.lit(threshold)
     pairs = shared_sums(
         members.withColumn("x", F.lit(1)),
         {"shared": lambda x, y: F.lit(1)},
         need=lambda n: F.ceil(t * n - EPSILON),
         pair_filter=lambda n, m: (m >= t * n - EPSILON) & (n >= t * m - EPSILON),
+        hot_above=HOT_FAN_OUT if threshold < LOW_THRESHOLD else None,
     )
     jaccard = F.col("shared") / (F.col("total_a") + F.col("total_b") - F.col("shared"))
     return pairs.select("a", "b", F.col("total_a").alias("n_a"), F.col("total_b").alias("n_b"), "shared", jaccard.alias("jaccard")).filter(
@@ -148,9 +155,6 @@ def cosine_pairs(unit_members: DataFrame, threshold: float) -> DataFrame:
     return pairs.select("a", "b", "cosine").filter(F.col("cosine") >= threshold * (1 - EPSILON))
 
 
-HOT_FAN_OUT = 2000
-
-
 def co_rated(ratings: DataFrame, id_col: str, elem: str, value: str = "rating", min_shared: int = 2) -> DataFrame:
     """Sums over the shared elements of each pair of ids with at least ``min_shared``.
 

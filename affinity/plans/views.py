@@ -17,8 +17,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Redistributes a scan that has fewer tasks than the cluster has cores.
+
+    Text work is all CPU, so a corpus of a few files would leave most cores
+    idle; a corpus of many files is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def corpus(spark, sf) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    return spread(table(spark, sf, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
 
 
 # --- books: documents with a header and boilerplate markers -----------------

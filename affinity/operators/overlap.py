@@ -49,18 +49,20 @@ def representatives(members: DataFrame, groups: DataFrame, id_col: str = "id") -
 def _split_prefix(members: DataFrame, mass: Column, need: Callable[[Column], Column]) -> DataFrame:
     """Tags members with ``total`` (the id's mass) and ``lead`` (False when left out).
 
-    The cut is made on element frequencies: per id one row per frequency is
-    ordered, not one per member.
+    Elements of a single id can never be shared and are dropped after they
+    counted into the total. The cut is made on element frequencies: per id one
+    row per frequency is ordered, not one per member.
     """
-    frequency = members.groupBy("elem").agg(F.count(F.lit(1)).alias("_f"))
-    counted = members.join(frequency, "elem").withColumn("_mass", mass)
+    weighed = members.withColumn("_mass", mass)
+    frequency = members.groupBy("elem").agg(F.count(F.lit(1)).alias("_f")).filter("_f > 1")
+    counted = weighed.join(frequency, "elem")
+    totals = weighed.groupBy("id").agg(F.sum("_mass").alias("total"))
     histogram = counted.groupBy("id", "_f").agg(F.sum("_mass").alias("_m"))
     hot_first = Window.partitionBy("id").orderBy(F.desc("_f")).rowsBetween(Window.unboundedPreceding, 0)
-    sums = histogram.withColumn("_cum", F.sum("_m").over(hot_first))
-    totals = sums.withColumn("total", F.sum("_m").over(Window.partitionBy("id")))
-    cut = totals.withColumn("_ok", F.col("_cum") >= need(F.col("total"))).groupBy("id").agg(
-        F.max(F.when(F.col("_ok"), F.col("_f"))).alias("_cut"), F.max("total").alias("total"))
-    return counted.join(cut, "id").withColumn("lead", F.coalesce(F.col("_f") <= F.col("_cut"), F.lit(False))).drop("_f", "_cut", "_mass")
+    sums = histogram.withColumn("_cum", F.sum("_m").over(hot_first)).join(totals, "id")
+    reached = F.when(F.col("_cum") >= need(F.col("total")), F.col("_f"))
+    cut = sums.groupBy("id").agg(F.max(reached).alias("_cut"), F.max("total").alias("total")).filter("_cut IS NOT NULL")
+    return counted.join(cut, "id").withColumn("lead", F.col("_f") <= F.col("_cut")).drop("_f", "_cut", "_mass")
 
 
 def shared_sums(

@@ -96,10 +96,12 @@ def first_line(spark, sf):
     return views.corpus(spark, sf).select("doc_id", F.split("text", "\n", 2)[0].alias("line"))
 
 
-@query("rows_frame", "SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey")
+@query("rows_frame", "SELECT c_custkey, n_name, r_name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
 def rows_frame(spark, sf):
-    n, r = views.table(spark, sf, "nation"), views.table(spark, sf, "region")
-    return n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
+    """A report is a DataFrame from the start; no rows pass through the driver."""
+    c, n, r = (views.table(spark, sf, t) for t in ("customer", "nation", "region"))
+    named = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+    return named.select("c_custkey", "n_name", "r_name")
 
 
 # --- sampling --------------------------------------------------------------------

@@ -343,8 +343,8 @@ est AS MATERIALIZED (SELECT p.trial, t, p.id AS a, q.id AS b FROM sig p JOIN sig
   GROUP BY ALL HAVING count(*) / t >= 0.5),
 w AS (SELECT trial, t, a, b, p.n_copies * q.n_copies AS weight FROM est JOIN reps p ON p.id = a JOIN reps q ON q.id = b),
 runs AS (SELECT trial, t FROM range({TRIALS}) r(trial), lens),
-counts AS (SELECT r.trial, r.t, (SELECT coalesce(sum(weight), 0) FROM w LEFT JOIN exact x ON x.a = w.a AND x.b = w.b WHERE w.trial = r.trial AND w.t = r.t AND x.a IS NULL) AS fp,
-  (SELECT coalesce(sum(weight), 0) FROM exact x WHERE NOT EXISTS (SELECT 1 FROM w WHERE w.trial = r.trial AND w.t = r.t AND w.a = x.a AND w.b = x.b)) AS fn FROM runs r)
+counts AS (SELECT r.trial, r.t, (SELECT coalesce(sum(w.weight), 0) FROM w LEFT JOIN exact x ON x.a = w.a AND x.b = w.b WHERE w.trial = r.trial AND w.t = r.t AND x.a IS NULL) AS fp,
+  (SELECT coalesce(sum(x.weight), 0) FROM exact x WHERE NOT EXISTS (SELECT 1 FROM w WHERE w.trial = r.trial AND w.t = r.t AND w.a = x.a AND w.b = x.b)) AS fn FROM runs r)
 SELECT t::BIGINT AS n_hashes, round(avg(fp), 6) AS avg_fp, round(avg(fn), 6) AS avg_fn, round(stddev_samp(fp), 6) AS sd_fp, round(stddev_samp(fn), 6) AS sd_fn FROM counts GROUP BY 1""")
 def minhash_trials(spark, sf):
     """Error counts over seeded trials; all trials and lengths share one overlap join."""

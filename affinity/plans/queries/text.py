@@ -112,18 +112,10 @@ def preview(spark, sf):
         "doc_id", F.substring("text", 1, 100).alias("preview"), F.length("text").cast("bigint").alias("n_chars"))
 
 
-ENGLISH_STOP_WORDS = StopWordsRemover.loadDefaultStopWords
-
-
 def _quoted(words) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
 
 
-def _default_stop_words():
-    # The list lives in the JVM; it is read when a session exists.
-    return sorted(set(ENGLISH_STOP_WORDS("english")))
-
-
 @query("stopwords")
 def stopwords(spark, sf):
     """Words left per document after the default English list."""

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from affinity.llm import decontamination, encoding, quality, secrets, sharding, simhash
+from affinity.llm import decontamination, encoding, licenses, quality, secrets, sharding, simhash, toxicity
 from affinity.llm.frames import BLANKS, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +156,23 @@ def op6(spark, sf):
 def op7(spark, sf):
     """Fingerprint and group of every document."""
     return simhash.digest(table(spark, sf, "documents"))
+
+
+def document_paths(docs: DataFrame) -> DataFrame:
+    """(id, path, text): the table has no paths, so each document is filed by its source, language and id."""
+    part = F.when(F.pmod("doc_id", F.lit(10)) != 0, F.concat(F.lit("part-"), F.floor(F.col("doc_id") / 1000).cast("string")))
+    lang = F.when(F.pmod("doc_id", F.lit(100)) != 0, F.col("lang"))
+    return docs.select(F.col("doc_id").alias("id"), F.concat_ws("/", "source", lang, part, F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.lit(".txt"))).alias("path"), "text")
+
+
+@query("op4_license_scans")
+def op4(spark, sf):
+    """Licence of every document, its own or of the nearest folder with one; a document with a notice is the licence file of its folder."""
+    out = licenses.scan(document_paths(table(spark, sf, "documents")), F.lit(True))
+    return out.withColumnRenamed("id", "doc_id")
+
+
+@query("op8_toxicity")
+def op8(spark, sf):
+    """Toxicity of every document."""
+    return toxicity.digest(table(spark, sf, "documents"), table(spark, sf, "labels"))

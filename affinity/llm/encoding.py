@@ -5,6 +5,7 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -24,6 +25,9 @@ LEAF = 1 << 14
 WIDTH = 128
 #: What the cut of a window can change: a contraction, or a special token's characters.
 MARGIN = 32
+#: Distinct words whose ids are held, plus those of one call. Words are cut at
+#: blanks and line ends, which no token and no normalisation spans.
+WORDS = 200_000
 #: Characters encoded in one call; bounds the memory of a task.
 CALL = 1 << 20
 
@@ -54,21 +58,43 @@ class Encoder:
         suffix = getattr(self.tok.model, "end_of_word_suffix", None)
         size = self.tok.get_vocab_size(with_added_tokens=True)
         special = set(self.tok.get_added_tokens_decoder())
+        self.words: dict[str, list[int]] = {}
+        self.token = [self.tok.id_to_token(i) or "" for i in range(size)]
+        self.lowers = self.tok.encode("A", add_special_tokens=False).ids == self.tok.encode("a", add_special_tokens=False).ids
         # Tokens after which a word begins.
-        self.ends = np.array([i in special or bool(suffix) and (self.tok.id_to_token(i) or "").endswith(suffix) for i in range(size)])
+        self.ends = np.array([i in special or bool(suffix) and self.token[i].endswith(suffix) for i in range(size)])
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        out: list = [None] * len(texts)
-        short = [i for i, t in enumerate(texts) if len(t) <= LEAF]
-        for i, e in zip(short, self.tok.encode_batch_fast([texts[i] for i in short], add_special_tokens=False)):
-            out[i] = e.ids
-        for i, t in enumerate(texts):
-            if out[i] is None:
-                out[i] = self.tree(t)[:, 0].tolist()
-        return out
+        """Short texts from the ids of their words, each distinct word being encoded once; long ones by the tree."""
+        short = {i: self._cut(t) for i, t in enumerate(texts) if len(t) <= LEAF}
+        if len(self.words) > WORDS:
+            self.words.clear()
+        self._learn(list({w for words in short.values() for w in words if w not in self.words}))
+        get = self.words.__getitem__
+        return [list(chain.from_iterable(map(get, short[i]))) if i in short else self.tree(t)[:, 0].tolist() for i, t in enumerate(texts)]
+
+    def _cut(self, text: str) -> list[str]:
+        """The words of a text; in lower case where that alone is what the tokenizer makes of them."""
+        text = text.replace("\n", " ")
+        return (text.lower() if self.lowers and text.isascii() and "<" not in text else text).split(" ")
+
+    def _learn(self, words: list[str]) -> None:
+        """The ids of new words, as one text; places tell whose they are."""
+        if not words:
+            return
+        made = self.tok.encode(" ".join(words), add_special_tokens=False)
+        begin = np.cumsum([0, *(len(w) + 1 for w in words)])
+        of = np.searchsorted(begin, np.fromiter((a for a, _ in made.offsets), np.int64, len(made.ids)), side="right") - 1
+        cut = np.searchsorted(of, np.arange(len(words) + 1)).tolist()
+        ids = made.ids
+        self.words.update((w, ids[a:b]) for w, a, b in zip(words, cut, cut[1:]))
 
     def decode(self, ids: list[list[int]]) -> list[str]:
-        return self.tok.decode_batch(ids, skip_special_tokens=False)
+        if self.tok.decoder is not None:
+            return self.tok.decode_batch(ids, skip_special_tokens=False)
+        # Without a decoder the library puts a blank between tokens.
+        get = self.token.__getitem__
+        return [" ".join(map(get, x)) for x in ids]
 
     def part(self, text: str, a: int, b: int) -> np.ndarray:
         """Rows (id, start, end) of text[a:b] encoded by itself."""
@@ -182,7 +208,7 @@ def _encoded(definition: Broadcast):
                     end += 1
                 made = own.encode(texts[at:end])
                 tokens = pa.ListArray.from_arrays(
-                    pa.array(np.cumsum([0, *map(len, made)]), pa.int32()), pa.array(np.fromiter((i for m in made for i in m), np.int32, sum(map(len, made)))))
+                    pa.array(np.cumsum([0, *map(len, made)]), pa.int32()), pa.array(np.fromiter(chain.from_iterable(made), np.int32, sum(map(len, made)))))
                 yield pa.RecordBatch.from_arrays([ids[at:end], tokens, pa.array(own.decode(made), pa.string())], ["doc_id", "ids", "decoded"])
                 at = end
 

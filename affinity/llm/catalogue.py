@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinity.llm import decontamination, encoding, licenses, quality, secrets, sharding, simhash, toxicity
+from affinity.llm import decontamination, encoding, licenses, quality, secrets, sharding, simhash, substring_dedup, suffix_dedup, toxicity
 from affinity.llm.frames import BLANKS, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,3 +176,15 @@ def op4(spark, sf):
 def op8(spark, sf):
     """Toxicity of every document."""
     return toxicity.digest(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op9_suffix_array_dedup")
+def op9(spark, sf):
+    """Bytes of every document that repeat earlier ones."""
+    return suffix_dedup.digest(table(spark, sf, "documents"))
+
+
+@query("op10_substring_dedup")
+def op10(spark, sf):
+    """Words of every document that repeat those of documents with smaller ids."""
+    return substring_dedup.digest(table(spark, sf, "documents"))

@@ -218,11 +218,13 @@ PIECES = "a bigint, part int, parted boolean, doc bigint, version int, start int
 def _bodies(slice_of: Callable[[str, np.ndarray, np.ndarray], list[bytes]]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for doc, version, text, asked in zip(batch["doc"], batch["version"], batch["text"], batch["asked"]):
-                start, stop = np.array([x["start"] for x in asked]), np.array([x["stop"] for x in asked])
-                yield pd.DataFrame({
-                    "a": [x["a"] for x in asked], "part": [x["part"] for x in asked], "parted": [x["parted"] for x in asked],
-                    "doc": doc, "version": version, "start": start, "body": slice_of(text, start, stop)})
+            many = batch["a"].str.len().to_numpy()
+            if not len(many):
+                continue
+            out = pd.DataFrame({k: np.concatenate(batch[k].to_list()) for k in ("a", "part", "parted", "start")})
+            out["doc"], out["version"] = (np.repeat(batch[k].to_numpy(), many) for k in ("doc", "version"))
+            out["body"] = [body for text, start, stop in zip(batch["text"], batch["start"], batch["stop"]) for body in slice_of(text, start, stop)]
+            yield out
 
     return run
 
@@ -290,7 +292,7 @@ def repeated(docs: DataFrame, rule: Rule, slice_of: Callable, settle: Settle, mo
     sorted_runs = rows.mapInPandas(_run_rows(rule), RUNS).repartition("a").sortWithinPartitions("a", "c", "doc", "at")
     met = materialize(sorted_runs.mapInPandas(_met(rule, most), MET), "met")
     asked = met.where("open").groupBy("doc", "version").agg(F.collect_list(F.struct("a", "part", "parted", "start", "stop")).alias("asked"))
-    bodies = rows.join(asked, ["doc", "version"]).select("doc", "version", "text", "asked").mapInPandas(_bodies(slice_of), PIECES)
+    bodies = rows.join(asked, ["doc", "version"]).select("doc", "version", "text", *[F.col(f"asked.{k}").alias(k) for k in ("a", "part", "parted", "start", "stop")]).mapInPandas(_bodies(slice_of), PIECES)
     # Rows that repeat as a whole send their pieces twice, which changes nothing.
     found = materialize(bodies.repartition("a", "part").sortWithinPartitions("a", "part", "doc", "start").mapInPandas(_shards(settle), FOUND), "settled")
     firsts = found.where("mark <> 0").repartition("mark").sortWithinPartitions("mark", "doc", "start").mapInPandas(_merged(rule.length, rule.within), FOUND)

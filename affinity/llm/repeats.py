@@ -28,7 +28,7 @@ travels(__name__)
 #: Symbols hashed together; longer documents are taken in overlapping pieces.
 PIECE = 1 << 20
 #: Runs of one anchor that meet in one shard; more of them are dealt over several, whose firsts are merged.
-MOST_OF_ANCHOR = 50_000
+MOST_OF_ANCHOR = 2_000
 #: Symbols that a task indexes together.
 SHARD = 4 << 20
 # An odd multiplier and mixing constants of 64 bits.

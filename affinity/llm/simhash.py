@@ -200,7 +200,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = materialize(fingerprints(docs), "fingerprints")
     # Documents with one fingerprint are one node, so copies never meet as pairs.
     nodes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    reach = smallest_reachable(materialize(links(nodes.select("fp")), "links"), nodes)
+    # Written, so that the last join stands alone and its large partitions can be split.
+    reach = materialize(smallest_reachable(materialize(links(nodes.select("fp")), "links"), nodes), "reach")
     return rows.join(reach, "fp").select("doc_id", "text_key", "fp", "component_id")
 
 

@@ -20,14 +20,14 @@ from affinity.llm.frames import id_and_text, travels
 travels(__name__)
 
 #: Characters in a leaf of the tree; a text of at most so many is one leaf.
-LEAF = 1 << 14
+LEAF = 1 << 16
 #: First width of a window on each side of a join; it doubles until both sides agree.
 WIDTH = 128
 #: What the cut of a window can change: a contraction, or a special token's characters.
 MARGIN = 32
 #: Distinct words whose ids are held, plus those of one call. Words are cut at
 #: blanks and line ends, which no token and no normalisation spans.
-WORDS = 200_000
+WORDS = 400_000
 #: Characters encoded in one call; bounds the memory of a task.
 CALL = 1 << 20
 
@@ -118,8 +118,9 @@ class Encoder:
             out.append(rows)
         return out
 
-    def tree(self, text: str, leaf: int = LEAF) -> np.ndarray:
+    def tree(self, text: str, leaf: int | None = None) -> np.ndarray:
         """The encoding of a whole text: its leaves in parallel, then neighbours joined until one is left."""
+        leaf = leaf or LEAF
         parts = self.leaves(text, 0, len(text), leaf)
         cuts = [*range(0, len(text), leaf), len(text)] if len(text) else [0, 0]
         while len(parts) > 1:

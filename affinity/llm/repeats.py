@@ -30,7 +30,7 @@ PIECE = 1 << 20
 #: Runs of one anchor that meet in one shard; more of them are dealt over several, whose firsts are merged.
 MOST_OF_ANCHOR = 2_000
 #: Symbols that a task indexes together.
-SHARD = 4 << 20
+SHARD = 1 << 20
 # An odd multiplier and mixing constants of 64 bits.
 BASE = 0x9E3779B97F4A7C15
 MIX_A = 0xBF58476D1CE4E5B9
@@ -172,8 +172,13 @@ MET = "a bigint, part int, parted boolean, doc bigint, version int, start int, s
 def _met(rule: Rule, most: int):
     """Rows sorted by (a, c, doc, at): repeats as ranges, and the runs that an index must settle (open)."""
 
-    def settle(rows: list[np.ndarray], part: np.ndarray, parted: np.ndarray) -> pd.DataFrame:
+    def settle(rows: list[np.ndarray], part: int, ongoing: np.ndarray) -> pd.DataFrame:
+        """part: how many parts the anchor that goes on (ongoing) has had before."""
         a, c, doc, at, done = rows
+        begin = _firsts(a)
+        nth = np.arange(len(a)) - begin
+        parted = ongoing | (np.bincount(begin, minlength=len(a))[begin] > most)
+        part = np.where(ongoing, part, 0) + nth // most
         pos, version, size = at >> 32, (at >> 8) & 0xFFFFFF, at & 0xFF
         stop = np.where(done, c, pos + size + rule.length - 1)
         late = _later(doc, pos, _firsts(a, c, done), rule.within) & ~done
@@ -198,16 +203,16 @@ def _met(rule: Rule, most: int):
             if cut:
                 ready = [x[:cut] for x in held]
                 ongoing = ready[0] == last
-                yield settle(ready, np.where(ongoing, part, 0), ongoing)
+                yield settle(ready, part, ongoing)
                 part, last = 0, None
                 held = [x[cut:] for x in held]
             if len(held[0]) > most:
                 last = held[0][-1]
-                yield settle(held, np.full(len(held[0]), part), np.ones(len(held[0]), bool))
-                part, held = part + 1, None
+                yield settle(held, part, np.ones(len(held[0]), bool))
+                part, held = part + len(held[0]) // most + 1, None
         if held is not None and len(held[0]):
             ongoing = held[0] == last
-            yield settle(held, np.where(ongoing, part, 0), ongoing)
+            yield settle(held, part, ongoing)
 
     return run
 

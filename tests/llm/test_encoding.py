@@ -33,12 +33,14 @@ def test_tree_is_exact(seed, monkeypatch):
 
 
 @pytest.mark.parametrize("text", ["a" * 40_000, "ab" * 20_000 + " end", " " * 50_000, "word " * 9000, "1" * 20_000, "́" * 18_000 + "e"])
-def test_long_unbroken(text):
+def test_long_unbroken(text, monkeypatch):
+    monkeypatch.setattr(encoding, "LEAF", 1 << 14)
     own = encoding.Encoder(DEFINITION)
     assert own.encode([text, "x"]) == [expected(text), expected("x")]
 
 
-def test_rows(spark):
+def test_rows(spark, monkeypatch):
+    monkeypatch.setattr(encoding, "LEAF", 1 << 14)
     long = " ".join(f"Word{i % 37}'s é{i}" for i in range(9000))
     rows = [(1, None), (2, ""), (2, ""), (3, " \n"), (None, "Hello, World!"), (4, long), (4, long), (5, "<|startoftext|>x<|endoftext|>")]
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("ids", T.StringType())])

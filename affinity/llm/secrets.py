@@ -132,6 +132,8 @@ def masked(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
 
 def redacted(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with every reported span masked; null texts stay null."""
-    spans = scan(docs, [*docs.columns])
-    text = F.when(F.col("text").isNotNull(), masked(F.col("text"), F.col("span")))
-    return spans.withColumn("text", text).select(*docs.columns)
+    # As one column, so that names of the input cannot clash.
+    rows = docs.select(F.struct(*docs.columns).alias("__row"), "text")
+    spans = scan(rows, ["__row"])
+    text = F.when(F.col("__row.text").isNotNull(), masked(F.col("__row.text"), F.col("span")))
+    return spans.select("__row.*", text.alias("__text")).withColumn("text", F.col("__text")).select(*docs.columns)

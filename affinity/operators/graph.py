@@ -102,7 +102,7 @@ def pagerank(
     return state.select("id", F.col("r0").alias("rank")), done
 
 
-def connected_components(edges: DataFrame, nodes: DataFrame | None = None, max_rounds: int = 50) -> DataFrame:
+def connected_components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """(id, component): smallest id of each component.
 
     Alternating large-star and small-star steps link every node to its
@@ -128,14 +128,12 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None, max_r
 
     links = materialize(edges.filter("src != dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct(), "links")
     before = fingerprint(links)
-    for _ in range(max_rounds):
+    while True:
         links = materialize(small_star(large_star(links)), "links")
         after = fingerprint(links)
         if after == before:
             break
         before = after
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     base = vertices(edges) if nodes is None else nodes
     root = links.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("component"))
     return base.join(root, "id", "left").select("id", F.coalesce("component", "id").alias("component"))

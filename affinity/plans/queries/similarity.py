@@ -166,13 +166,17 @@ def jaccard_pairs(spark, sf):
     return pairs.select("a", "b", "n_a", "n_b", F.col("shared").cast("bigint").alias("shared"), "weight", F.round("jaccard", 6).alias("jaccard"))
 
 
-@query("jaccard_levels", f"""WITH {WORD_SQL}, {exact_sql(0.5)}, levels AS (SELECT unnest([0.5, 0.6, 0.8])::DOUBLE AS level)
-SELECT level, count(*) AS n_pairs, sum(weight)::BIGINT AS n_full_pairs FROM exact, levels WHERE jaccard >= level GROUP BY 1""")
+@query("jaccard_levels", f"""WITH {WORD_SQL}, {exact_sql(0.5)}, levels AS (SELECT unnest([0.5, 0.6, 0.8])::DOUBLE AS level),
+inside AS (SELECT sum(n_copies * (n_copies - 1) // 2) AS n FROM reps)
+SELECT level, count(*) AS n_pairs, CAST(sum(weight) + any_value(inside.n) AS BIGINT) AS n_full_pairs FROM exact, levels, inside WHERE jaccard >= level GROUP BY 1""")
 def jaccard_levels(spark, sf):
     members, reps = word_sets(spark, sf)
     pairs = weigh(overlap.jaccard_pairs(members, 0.5), reps)
     levels = F.explode(F.filter(F.array(F.lit(0.5), F.lit(0.6), F.lit(0.8)), lambda x: x <= F.col("jaccard")))
-    return pairs.select(levels.alias("level"), "weight").groupBy("level").agg(F.count(F.lit(1)).alias("n_pairs"), F.sum("weight").alias("n_full_pairs"))
+    counts = pairs.select(levels.alias("level"), "weight").groupBy("level").agg(F.count(F.lit(1)).alias("n_pairs"), F.sum("weight").alias("between"))
+    # Pairs of copies agree in full; they belong to every level.
+    inside = reps.agg(F.coalesce(F.sum((F.col("n_copies") * (F.col("n_copies") - 1) / 2).cast("bigint")), F.lit(0)).alias("n"))
+    return counts.join(F.broadcast(inside)).select("level", "n_pairs", (F.col("between") + F.col("n")).alias("n_full_pairs"))
 
 
 USER_JACCARD = 0.08

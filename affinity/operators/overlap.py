@@ -23,8 +23,6 @@ from pyspark.sql import functions as F
 from affinity.sources.scratch import materialize
 
 EPSILON = 1e-9
-HOT_FAN_OUT = 2000  # rows an element may meet per member row in a plain join
-LOW_THRESHOLD = 0.2
 
 
 def copy_groups(members: DataFrame, id_col: str = "id", elem: str = "elem") -> DataFrame:
@@ -71,13 +69,10 @@ def shared_sums(
     need: Callable[[Column], Column],
     mass: Column | None = None,
     pair_filter: Callable[[Column, Column], Column] | None = None,
-    hot_above: int | None = None,
 ) -> DataFrame:
     """(a, b, total_a, total_b, <sums>) for every pair ``a < b`` whose shared mass can reach ``need``.
 
-    ``members`` holds distinct (id, elem) rows with a value ``x``. With
-    ``hot_above`` the left-out rule is only applied when some element is more
-    frequent than that; otherwise the fan-out per row is already bounded by it.
+    ``members`` holds distinct (id, elem) rows with a value ``x``.
     """
     mass = F.lit(1) if mass is None else mass
 
@@ -90,18 +85,6 @@ def shared_sums(
     def paired(rows: DataFrame) -> DataFrame:
         return rows.select("a", "b", "total_a", "total_b", *[fn(F.col("x_a"), F.col("x_b")).alias(n) for n, fn in sums.items()])
 
-    if hot_above is not None:
-        hottest = members.groupBy("elem").agg(F.count(F.lit(1)).alias("f")).agg(F.max("f").alias("f")).first()["f"]  # one number
-        if hottest is None or hottest <= hot_above:
-            totals = members.groupBy("id").agg(F.sum(mass).alias("total"))
-            plain = members.join(totals, "id")
-            left = side(plain, "a", ["elem", F.col("total").alias("total_a")])
-            right = side(plain, "b", ["elem", F.col("total").alias("total_b")])
-            joined = left.join(right, "elem").filter(F.col("a") < F.col("b"))
-            if pair_filter is not None:
-                joined = joined.filter(pair_filter(F.col("total_a"), F.col("total_b")))
-            return combine(paired(joined))
-
     tagged = materialize(_split_prefix(members, mass, need), "members")
     leading, rest = tagged.filter("lead"), tagged.filter("NOT lead")
     joined = (
@@ -119,18 +102,13 @@ def shared_sums(
 
 
 def jaccard_pairs(members: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, n_a, n_b, shared, jaccard) for pairs at or above a threshold > 0.
-
-    A low threshold lets an id leave out so little that the plain join is
-    cheaper, unless there is a hot element.
-    """
+    """(a, b, n_a, n_b, shared, jaccard) for pairs at or above a threshold > 0."""
     t = F.lit(threshold)
     pairs = shared_sums(
         members.withColumn("x", F.lit(1)),
         {"shared": lambda x, y: F.lit(1)},
         need=lambda n: F.ceil(t * n - EPSILON),
         pair_filter=lambda n, m: (m >= t * n - EPSILON) & (n >= t * m - EPSILON),
-        hot_above=HOT_FAN_OUT if threshold < LOW_THRESHOLD else None,
     )
     jaccard = F.col("shared") / (F.col("total_a") + F.col("total_b") - F.col("shared"))
     return pairs.select("a", "b", F.col("total_a").alias("n_a"), F.col("total_b").alias("n_b"), "shared", jaccard.alias("jaccard")).filter(
@@ -168,7 +146,7 @@ def co_rated(ratings: DataFrame, id_col: str, elem: str, value: str = "rating",
         members,
         {"n": lambda x, y: F.lit(1), "sx": lambda x, y: x, "sy": lambda x, y: y,
          "sxx": lambda x, y: x * x, "syy": lambda x, y: y * y, "sxy": lambda x, y: x * y},
-        need=lambda n: F.lit(min_shared), hot_above=HOT_FAN_OUT,
+        need=lambda n: F.lit(min_shared),
     )
     return pairs.drop("total_a", "total_b").filter(F.col("n") >= min_shared)
 

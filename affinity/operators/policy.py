@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinity.functions.hashing import uniform
-from affinity.operators.relational import dense_index
+from affinity.operators.relational import dense_index, top_k
 from affinity.sources.scratch import materialize
 
 
@@ -41,45 +43,67 @@ def epsilon_greedy(requests: DataFrame, stats: DataFrame, epsilon: float = 0.1,
     return served.withColumn("_best", best).withColumn("arm", F.when(F.col("explored"), F.col("arm")).otherwise(F.col("_best"))).drop("_at", "_best")
 
 
-MAX_ARMS = 1000  # candidate arms go to the tasks as small matrices
+ARMS_IN_BLOCK = 2000  # arms that go to the tasks together, as small matrices
 
 
-def linear_arms(contexts: DataFrame, rewards: DataFrame, dims: int, n_arms: int = 200, k: int = 10, alpha: float = 0.5) -> DataFrame:
-    """(user_id, arm, score, rank): upper-confidence linear scores of the candidate arms.
+def arm_models(contexts: DataFrame, rewards: DataFrame, dims: int) -> DataFrame:
+    """(arm, theta, inverse): the ridge solution of each arm, its matrix in rows.
 
-    Candidates are the ``n_arms`` most pulled arms. Per arm only the sums of
-    x x' and r x are grouped; every task scores its own contexts.
+    Only the sums of x x' and r x are grouped, which Spark adds up before the
+    shuffle, so an arm with much of the log is no load; the solving runs in the tasks.
     """
-    if n_arms > MAX_ARMS:
-        raise ValueError(f"at most {MAX_ARMS} candidate arms")
-    popular = rewards.groupBy("arm").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), "arm").limit(n_arms).select("arm")
     x = [F.col("x")[i] for i in range(dims)]
     upper = [(i, j) for i in range(dims) for j in range(i, dims)]
-    sums = rewards.join(popular, "arm", "left_semi").join(contexts, "user_id").groupBy("arm").agg(
+    sums = rewards.join(contexts, "user_id").groupBy("arm").agg(
         *[F.sum(x[i] * x[j]).alias(f"a{i}_{j}") for i, j in upper], *[F.sum(F.col("reward") * x[i]).alias(f"b{i}") for i in range(dims)])
-    rows = sums.orderBy("arm").toPandas()  # at most n_arms rows
-    a = np.tile(np.eye(dims), (len(rows), 1, 1))
-    for i, j in upper:
-        a[:, i, j] += rows[f"a{i}_{j}"]
-        if i != j:
-            a[:, j, i] += rows[f"a{i}_{j}"]
-    inverse = np.linalg.inv(a)
-    theta = np.einsum("nij,nj->ni", inverse, rows[[f"b{i}" for i in range(dims)]].to_numpy())
-    arms = rows["arm"].to_numpy()
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            a = np.tile(np.eye(dims), (len(batch), 1, 1))
+            for i, j in upper:
+                a[:, i, j] += batch[f"a{i}_{j}"].to_numpy()
+                if i != j:
+                    a[:, j, i] += batch[f"a{i}_{j}"].to_numpy()
+            inverse = np.linalg.inv(a)
+            theta = np.einsum("nij,nj->ni", inverse, batch[[f"b{i}" for i in range(dims)]].to_numpy())
+            yield pd.DataFrame({"arm": batch["arm"], "theta": list(theta), "inverse": list(inverse.reshape(len(batch), dims * dims))})
+
+    return sums.mapInPandas(solve, "arm bigint, theta array<double>, inverse array<double>")
+
+
+def linear_arms(contexts: DataFrame, rewards: DataFrame, dims: int, k: int = 10, alpha: float = 0.5, block: int = ARMS_IN_BLOCK) -> DataFrame:
+    """(user_id, arm, score, rank): the best k of all logged arms by upper-confidence linear scores.
+
+    Arms go to the tasks in blocks of about ``block``; each task keeps only its
+    contexts' best k of a block, and the best of all blocks are ranked. The rows
+    are the same for any number of blocks.
+    """
+    models = materialize(arm_models(contexts, rewards, dims), "arms")
+    blocks = -(-models.count() // block)
+    asked = contexts.select("user_id", "x")
+
+    def score(batches: Iterator[pd.DataFrame], shared: Broadcast) -> Iterator[pd.DataFrame]:
+        arms, theta, inverse = shared.value
         for batch in batches:
             if len(batch) == 0:
                 continue
             ctx = np.stack(batch["x"].to_numpy())
-            bonus = np.sqrt(np.maximum(np.einsum("ui,nij,uj->un", ctx, inverse, ctx, optimize=True), 0))
-            s = np.round(ctx @ theta.T + alpha * bonus, 6)
+            # x' A x of all arms as one product of matrices.
+            outer = (ctx[:, :, None] * ctx[:, None, :]).reshape(len(ctx), -1)
+            s = np.round(ctx @ theta.T + alpha * np.sqrt(np.maximum(outer @ inverse.T, 0)), 6)
             order = np.lexsort((np.broadcast_to(arms, s.shape), -s))[:, :k]
             yield pd.DataFrame({
                 "user_id": np.repeat(batch["user_id"].to_numpy(), order.shape[1]), "arm": arms[order].ravel(),
-                "score": np.take_along_axis(s, order, axis=1).ravel(), "rank": np.tile(np.arange(1, order.shape[1] + 1), len(batch))})
-
-    return contexts.select("user_id", "x").mapInPandas(score, "user_id bigint, arm bigint, score double, rank bigint")
+                "score": np.take_along_axis(s, order, axis=1).ravel()})
+
+    found = asked.select(F.col("user_id").cast("bigint").alias("user_id"), F.lit(0).cast("bigint").alias("arm"), F.lit(0.0).alias("score")).limit(0)
+    for b in range(blocks):
+        rows = models.where(F.pmod(F.xxhash64("arm"), F.lit(blocks)) == b).orderBy("arm").toPandas()  # about ``block`` rows
+        if len(rows):
+            held = rows["arm"].to_numpy(), np.stack(rows["theta"].to_numpy()), np.stack(rows["inverse"].to_numpy())
+            shared = asked.sparkSession.sparkContext.broadcast(held)
+            found = found.unionByName(asked.mapInPandas(partial(score, shared=shared), "user_id bigint, arm bigint, score double"))
+    return top_k(found, ["user_id"], [F.desc("score"), "arm"], k)
 
 
 def batch_q(transitions: DataFrame, gamma: float = 0.9, rounds: int = 5) -> DataFrame:

@@ -171,9 +171,13 @@ def recommend_by_items(neighbours: DataFrame, ratings: DataFrame, n: int = 5) ->
     return top_k(scored, ["user_id"], [F.desc("score"), "item_id"], n).select("user_id", "item_id", "score", "rank")
 
 
-def full_cosines(ratings: DataFrame, key: str, by: str) -> DataFrame:
-    """(id, other, sim) with whole-row norms, for a bounded sub-matrix."""
-    dots = overlap.co_rated(ratings, key, by, min_shared=1).select("a", "b", "sxy")
+def full_cosines(ratings: DataFrame, key: str, by: str, min_shared: int = 2) -> DataFrame:
+    """(id, other, sim) with whole-row norms, for pairs with at least ``min_shared`` ratings of the same.
+
+    A single shared rating says little, and leaving such pairs out keeps one
+    thing that everybody rated from pairing all of them.
+    """
+    dots = overlap.co_rated(ratings, key, by, min_shared=min_shared).select("a", "b", "sxy")
     doubled = F.col("rating") * 2
     norms = ratings.groupBy(key).agg(F.sum(doubled * doubled).alias("ss"))
     na, nb = (norms.select(F.col(key).alias(s), F.col("ss").alias(f"s{s}")) for s in "ab")
@@ -181,22 +185,25 @@ def full_cosines(ratings: DataFrame, key: str, by: str) -> DataFrame:
     return overlap.both_ways(sims)
 
 
+def _unseen_top(scores: DataFrame, ratings: DataFrame, n: int) -> DataFrame:
+    fresh = scores.join(ratings.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
+    return top_k(fresh, ["user_id"], [F.desc("score"), "item_id"], n)
+
+
 def mean_of_nearest(similarities: DataFrame, ratings: DataFrame, k: int = 10, n: int = 5) -> DataFrame:
-    """Items by the mean rating of the k nearest users, a missing rating counting as 0."""
+    """Unseen items by the mean rating of the k nearest users, a missing rating counting as 0."""
     near = nearest(similarities, k).select(F.col("id").alias("user_id"), "other")
     known = ratings.select(F.col("user_id").alias("other"), "item_id", "rating")
     scores = near.join(known, "other").groupBy("user_id", "item_id").agg(F.round(F.sum("rating") / k, 6).alias("score"))
-    return top_k(scores, ["user_id"], [F.desc("score"), "item_id"], n)
+    return _unseen_top(scores, ratings, n)
 
 
 def similarity_times_row(similarities: DataFrame, ratings: DataFrame, n: int = 5) -> DataFrame:
-    """Items by the similarity matrix times the user's row; an item's similarity to itself is 1."""
+    """Unseen items by the similarity matrix times the user's row."""
     sims = similarities.select(F.col("id").alias("item_id"), F.col("other").alias("rated"), "sim")
     own = ratings.select("user_id", F.col("item_id").alias("rated"), "rating")
-    moved = sims.join(own, "rated").select("user_id", "item_id", (F.col("sim") * F.col("rating")).alias("s"))
-    both = moved.unionByName(ratings.select("user_id", "item_id", F.col("rating").alias("s")))
-    scores = both.groupBy("user_id", "item_id").agg(F.round(F.sum("s"), 6).alias("score"))
-    return top_k(scores, ["user_id"], [F.desc("score"), "item_id"], n)
+    scores = sims.join(own, "rated").groupBy("user_id", "item_id").agg(F.round(F.sum(F.col("sim") * F.col("rating")), 6).alias("score"))
+    return _unseen_top(scores, ratings, n)
 
 
 def co_liked(ratings: DataFrame, k: int = 3) -> DataFrame:
@@ -210,7 +217,7 @@ def co_liked(ratings: DataFrame, k: int = 3) -> DataFrame:
     members = ratings.select(F.col("item_id").alias("id"), F.col("user_id").alias("elem"), liked.alias("x"))
     pairs = overlap.shared_sums(
         members, {"shared": lambda x, y: F.lit(1), "na": lambda x, y: x, "nb": lambda x, y: y},
-        need=lambda n: F.lit(2), hot_above=overlap.HOT_FAN_OUT).filter("shared >= 2")
+        need=lambda n: F.lit(2)).filter("shared >= 2")
     two = F.explode(F.array(
         F.struct(F.col("a").alias("item_id"), F.col("b").alias("other"), F.col("na").alias("n")),
         F.struct(F.col("b").alias("item_id"), F.col("a").alias("other"), F.col("nb").alias("n"))))

@@ -74,6 +74,17 @@ def dense_index(df: DataFrame, key: str, out: str = "idx") -> DataFrame:
     return placed.join(bases, "_part").select(key, (F.col("_base") + F.col("_id") - F.col("_first")).cast("bigint").alias(out))
 
 
+def multi_hot(tags: DataFrame, key: str, tag: str) -> DataFrame:
+    """(key, hot, size): the ascending places of each key's tags in the sorted vocabulary of all tags, and its size.
+
+    The vocabulary is learned from the rows; a vector is kept as its places of ones.
+    """
+    places = dense_index(tags, tag, "_at")
+    size = places.agg(F.count(F.lit(1)).alias("n")).scalar()
+    held = tags.select(key, tag).distinct().join(places, tag).groupBy(key).agg(F.sort_array(F.collect_list("_at")).alias("hot"))
+    return held.withColumn("size", size)
+
+
 def confusion(estimated: DataFrame, truth: DataFrame, keys: list[str], weight: Column | None = None) -> DataFrame:
     """False positives, false negatives and hits between two pair sets."""
     w = "_w"

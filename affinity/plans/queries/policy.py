@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from affinity.functions import arrays, scalars
+from affinity.functions import scalars
 from affinity.operators import ordered, policy
 from affinity.plans import views
-from affinity.plans.queries.relational import TYPES
+from affinity.plans.queries.relational import HOT_SQL, hot_tags
 from affinity.plans.registry import query
+from affinity.sources.scratch import materialize
 
 L = views.LOGGED_SQL
 BOUGHT = "event_type = 'purchase'"  # the pulls of the policy; other events only name arms
@@ -56,47 +57,49 @@ def explore_rate(spark, sf):
     return served(spark, sf).agg(F.round(F.avg(F.col("explored").cast("double")), 6).alias("rate"), F.count(F.lit(1)).alias("n"))
 
 
-TYPE_SQL = ", ".join(f"round(coalesce(max(x) FILTER (WHERE tag = '{t}'), 0), 6) AS {t.lower()}" for t in TYPES)
+def extras(spark, sf):
+    """Mean rating and number of likes of every user."""
+    likes = F.least(F.count_if(F.col("rating") >= 4) / F.lit(50.0), F.lit(1.0))
+    return views.interactions(spark, sf).groupBy("user_id").agg(F.avg("rating").alias("mean_rating"), likes.alias("n_norm"))
 
 
-def contexts(spark, sf):
-    """(user_id, type shares..., mean_rating, n_norm) over users with a liked item."""
-    ratings = views.interactions(spark, sf)
-    types = views.items(spark, sf).select("item_id", F.split("genres", r"\|")[0].alias("tag"))
-    liked = ratings.filter("rating >= 4").join(types, "item_id")
-    shares = policy.unit_counts(liked, "user_id", "tag", F.lit(1.0))
-    wide = shares.groupBy("user_id").pivot("tag", TYPES).agg(F.max("x")).fillna(0.0)
-    extras = ratings.groupBy("user_id").agg(
-        F.avg("rating").alias("mean_rating"), F.least(F.count_if(F.col("rating") >= 4) / F.lit(50.0), F.lit(1.0)).alias("n_norm"))
-    return wide.join(extras, "user_id").select("user_id", *[F.col(t).alias(t.lower()) for t in TYPES], "mean_rating", "n_norm")
+def liking(spark, sf, tags):
+    """(user_id, tag, x): the user's liked items by tag, of length one."""
+    liked = views.interactions(spark, sf).filter("rating >= 4").join(tags, "item_id")
+    return policy.unit_counts(liked, "user_id", "tag", F.lit(1.0))
 
 
-@query("user_context", f"""WITH {views.INTERACTIONS_SQL}, c AS (SELECT user_id, p_type AS tag, CAST(count(*) AS DOUBLE) AS s FROM interactions JOIN part ON item_id = p_partkey WHERE rating >= 4 GROUP BY 1, 2),
+@query("user_context", f"""WITH {views.INTERACTIONS_SQL}, {views.TAGS_SQL}, c AS (SELECT user_id, tag, CAST(count(*) AS DOUBLE) AS s FROM interactions JOIN tags USING (item_id) WHERE rating >= 4 GROUP BY 1, 2),
 x AS (SELECT user_id, tag, s / sqrt(sum(s * s) OVER (PARTITION BY user_id)) AS x FROM c),
-e AS (SELECT user_id, round(avg(rating), 6) AS mean_rating, round(least(count(*) FILTER (WHERE rating >= 4) / 50, 1), 6) AS n_norm FROM interactions GROUP BY 1)
-SELECT user_id, {TYPE_SQL}, any_value(mean_rating) AS mean_rating, any_value(n_norm) AS n_norm FROM x JOIN e USING (user_id) GROUP BY 1""")
+e AS (SELECT user_id, avg(rating) AS mean_rating, least(count(*) FILTER (WHERE rating >= 4) / 50, 1) AS n_norm FROM interactions GROUP BY 1)
+SELECT user_id, tag, round(coalesce(x, 0), 6) AS x, round(mean_rating, 6) AS mean_rating, round(n_norm, 6) AS n_norm FROM e LEFT JOIN x USING (user_id)""")
 def user_context(spark, sf):
-    c = contexts(spark, sf)
-    return c.select("user_id", *[F.round(x, 6).alias(x) for x in c.columns[1:]])
+    """The non-zero entries of every user's tag vector; a user who liked nothing has one row without a tag."""
+    c = extras(spark, sf).join(liking(spark, sf, views.item_tags(spark, sf)), "user_id", "left").fillna(0.0, ["x"])
+    return c.select("user_id", "tag", *[F.round(x, 6).alias(x) for x in ("x", "mean_rating", "n_norm")])
 
 
-@query("item_context", f"""WITH {views.INTERACTIONS_SQL}, s AS (SELECT item_id, avg(rating) AS m, count(*) AS n FROM interactions GROUP BY 1)
-SELECT p_partkey AS item_id, {', '.join(f"CAST(p_type = '{t}' AS DOUBLE) AS {t.lower()}" for t in TYPES)}, round((coalesce(m, 2.5) - 2.5) / 2.5, 6) AS quality, round(least(coalesce(n, 0) / 500, 1), 6) AS popularity
-FROM part LEFT JOIN s ON item_id = p_partkey""")
+@query("item_context", f"""WITH {views.INTERACTIONS_SQL}, {HOT_SQL}, s AS (SELECT item_id, avg(rating) AS m, count(*) AS n FROM interactions GROUP BY 1)
+SELECT h.item_id, hot, size, round((coalesce(m, 2.5) - 2.5) / 2.5, 6) AS quality, round(least(coalesce(n, 0) / 500, 1), 6) AS popularity
+FROM hot h LEFT JOIN s ON s.item_id = h.item_id""")
 def item_context(spark, sf):
     stats = views.interactions(spark, sf).groupBy("item_id").agg(F.avg("rating").alias("m"), F.count(F.lit(1)).alias("n"))
-    joined = views.items(spark, sf).join(stats, "item_id", "left").withColumn("v", arrays.multi_hot(F.split("genres", r"\|"), TYPES))
     quality = (F.coalesce("m", F.lit(2.5)) - 2.5) / 2.5
     popularity = F.least(F.coalesce("n", F.lit(0)) / F.lit(500.0), F.lit(1.0))
-    return joined.select("item_id", *[F.col("v")[i].alias(t.lower()) for i, t in enumerate(TYPES)], F.round(quality, 6).alias("quality"), F.round(popularity, 6).alias("popularity"))
+    return hot_tags(spark, sf).join(stats, "item_id", "left").select("item_id", "hot", "size", F.round(quality, 6).alias("quality"), F.round(popularity, 6).alias("popularity"))
 
 
 @query("linear_arms")
 def linear_arms(spark, sf):
-    c = contexts(spark, sf)
-    x = c.select("user_id", F.array(*c.columns[1:]).alias("x"))
+    """All items as arms, for every user. A context is the user's liking of each category (an item's first tag), mean rating and activity."""
+    categories = views.items(spark, sf).select("item_id", F.split("genres", r"\|")[0].alias("tag"))
+    # The categories are few by their nature; the arms' matrices have their number squared.
+    names = [r["tag"] for r in categories.select("tag").distinct().orderBy("tag").collect()]
+    wide = liking(spark, sf, categories).groupBy("user_id").pivot("tag", names).agg(F.max("x"))
+    x = F.array(*[F.coalesce(F.col(f"`{t}`"), F.lit(0.0)) for t in names], F.col("mean_rating"), F.col("n_norm"))
+    contexts = materialize(extras(spark, sf).join(wide, "user_id", "left").select("user_id", x.alias("x")), "contexts")
     rewards = views.interactions(spark, sf).select("user_id", F.col("item_id").alias("arm"), scalars.reward(F.col("rating")).alias("reward"))
-    return policy.linear_arms(x, rewards, len(c.columns) - 1)
+    return policy.linear_arms(contexts, rewards, len(names) + 2)
 
 
 def q_sql(rounds: int) -> str:

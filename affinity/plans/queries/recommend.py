@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from affinity.functions import arrays, texts
-from affinity.operators import explain, overlap, recommend as rc, relational
+from affinity.operators import explain, overlap, recommend as rc
 from affinity.operators.relational import top_k
 from affinity.plans import views
-from affinity.plans.queries.files import MOST_ACTIVE_SQL
 from affinity.plans.registry import query
 from affinity.sources.scratch import materialize
 
@@ -40,10 +39,11 @@ def user_profile(spark, sf):
 
 @query("profile_recs", f"""WITH {PROFILE_SQL}, pn AS (SELECT user_id, tag, x / sqrt(sum(x * x) OVER (PARTITION BY user_id)) AS x FROM profile),
 s AS (SELECT user_id, item_id, round(sum(x * w), 6) AS score FROM pn JOIN unitv USING (tag) GROUP BY 1, 2)
-SELECT user_id, item_id, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM s QUALIFY rank <= 5""")
+SELECT user_id, item_id, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM s ANTI JOIN train USING (user_id, item_id) QUALIFY rank <= 5""")
 def profile_recs(spark, sf):
     v = materialize(vectors(spark, sf), "vectors")
-    return rc.profile_recommendations(rc.user_profiles(views.train(spark, sf), v), v, 5)
+    ratings = materialize(views.train(spark, sf), "train")
+    return rc.profile_recommendations(rc.user_profiles(ratings, v), v, 5, seen=ratings)
 
 
 @query("genre_recs", f"""WITH {SPLIT}, {TAGS}, g AS MATERIALIZED (SELECT item_id, tag, 1 / sqrt(count(*) OVER (PARTITION BY item_id)) AS w FROM tags),
@@ -165,33 +165,27 @@ def item_recs(spark, sf):
 
 
 def full_sql(key: str, by: str) -> str:
-    return f"""{MOST_ACTIVE_SQL}, {co_sql('active', key, by)},
-ss AS (SELECT {key} AS id, sum(rating * 2 * rating * 2) AS s FROM active GROUP BY 1),
-half AS (SELECT a, b, sxy / sqrt(p.s * q.s) AS sim FROM co JOIN ss p ON p.id = a JOIN ss q ON q.id = b),
+    return f"""{SPLIT}, {co_sql('train', key, by)},
+ss AS (SELECT {key} AS id, sum(rating * 2 * rating * 2) AS s FROM train GROUP BY 1),
+half AS (SELECT a, b, sxy / sqrt(p.s * q.s) AS sim FROM co JOIN ss p ON p.id = a JOIN ss q ON q.id = b WHERE n >= 2),
 sims AS MATERIALIZED (SELECT a AS id, b AS other, sim FROM half UNION ALL SELECT b, a, sim FROM half)"""
 
 
-def active(spark, sf):
-    """The sub-matrix of the 500 most active users and items, as whole-row similarities need it."""
-    return materialize(relational.most_active(views.interactions(spark, sf), "user_id", "item_id", 500, 500), "active")
-
-
 @query("dense_user_cf", f"""WITH {full_sql('user_id', 'item_id')},
 near AS (SELECT id, other, row_number() OVER (PARTITION BY id ORDER BY sim DESC, other) AS rank FROM sims QUALIFY rank <= 10),
-s AS (SELECT n.id AS user_id, item_id, round(sum(rating) / 10, 6) AS score FROM near n JOIN active r ON r.user_id = n.other GROUP BY 1, 2)
-SELECT user_id, item_id, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM s QUALIFY rank <= 5""")
+s AS (SELECT n.id AS user_id, item_id, round(sum(rating) / 10, 6) AS score FROM near n JOIN train r ON r.user_id = n.other GROUP BY 1, 2)
+SELECT user_id, item_id, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM s ANTI JOIN train USING (user_id, item_id) QUALIFY rank <= 5""")
 def dense_user_cf(spark, sf):
-    ratings = active(spark, sf)
-    return rc.mean_of_nearest(rc.full_cosines(ratings, "user_id", "item_id"), ratings)
+    ratings = materialize(views.train(spark, sf), "train")
+    return rc.mean_of_nearest(materialize(rc.full_cosines(ratings, "user_id", "item_id"), "similarities"), ratings)
 
 
 @query("dense_item_cf", f"""WITH {full_sql('item_id', 'user_id')},
-s AS (SELECT user_id, item_id, round(sum(s), 6) AS score FROM (SELECT r.user_id, m.id AS item_id, sim * rating AS s FROM sims m JOIN active r ON r.item_id = m.other
-  UNION ALL SELECT user_id, item_id, rating FROM active) GROUP BY 1, 2)
-SELECT user_id, item_id, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM s QUALIFY rank <= 5""")
+s AS (SELECT user_id, m.id AS item_id, round(sum(sim * rating), 6) AS score FROM sims m JOIN train r ON r.item_id = m.other GROUP BY 1, 2)
+SELECT user_id, item_id, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM s ANTI JOIN train USING (user_id, item_id) QUALIFY rank <= 5""")
 def dense_item_cf(spark, sf):
-    ratings = active(spark, sf)
-    return rc.similarity_times_row(rc.full_cosines(ratings, "item_id", "user_id"), ratings)
+    ratings = materialize(views.train(spark, sf), "train")
+    return rc.similarity_times_row(materialize(rc.full_cosines(ratings, "item_id", "user_id"), "similarities"), ratings)
 
 
 @query("co_liked", f"""WITH {views.INTERACTIONS_SQL}, c AS (SELECT p.item_id, q.item_id AS other, count(*) AS n FROM interactions p JOIN interactions q ON p.user_id = q.user_id AND p.item_id <> q.item_id WHERE p.rating >= 4 GROUP BY 1, 2)

@@ -87,13 +87,19 @@ def array_sums(spark, sf):
     return rebuilt.select("label", F.posexplode("v").alias("pos", "x")).select("label", F.col("pos").cast("bigint").alias("pos"), F.round("x", 6).alias("total"))
 
 
-TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+HOT_SQL = f"""{T}, places AS (SELECT tag, row_number() OVER (ORDER BY tag) - 1 AS pos FROM (SELECT DISTINCT tag FROM tags)),
+hot AS MATERIALIZED (SELECT item_id, string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) AS hot, (SELECT count(*) FROM places) AS size FROM tags JOIN places USING (tag) GROUP BY 1)"""
 
 
-@query("multi_hot", "SELECT p_partkey AS item_id, " + ", ".join(f"CAST(p_type = '{t}' AS DOUBLE) AS {t.lower()}" for t in TYPES) + " FROM part")
+def hot_tags(spark, sf):
+    hot = relational.multi_hot(views.item_tags(spark, sf), "item_id", "tag")
+    return hot.select("item_id", F.array_join(F.col("hot").cast("array<string>"), ",").alias("hot"), "size")
+
+
+@query("multi_hot", f"WITH {HOT_SQL} SELECT item_id, hot, size FROM hot")
 def multi_hot(spark, sf):
-    hot = views.items(spark, sf).select("item_id", arrays.multi_hot(F.split("genres", r"\|"), TYPES).alias("v"))
-    return hot.select("item_id", *[F.col("v")[i].alias(t.lower()) for i, t in enumerate(TYPES)])
+    """Each item's places of ones in the vocabulary of all tags."""
+    return hot_tags(spark, sf)
 
 
 @query("standardise", """SELECT c_custkey, round((c_acctbal - avg(c_acctbal) OVER ()) / stddev_pop(c_acctbal) OVER (), 6) AS balance,

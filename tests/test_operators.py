@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from affinity.functions import arrays, scalars, texts
 from affinity.operators import cluster, evaluate as ev, explain, factor, graph, ordered, policy, relational, search
 from affinity.operators.scoring import top_k_by_dot
+from affinity.plans import views
 from affinity.sources import files
 from affinity.sources.scratch import materialize, scratch_root
 
+SF = "/root/testdata/sf0.001"
+
 
 # --- files and text ---------------------------------------------------------------------
 
@@ -131,7 +134,7 @@ def test_svd_against_numpy(spark):
     rng = np.random.default_rng(0)
     a = sum(10.0 ** -i * np.outer(rng.normal(size=40), rng.normal(size=25)) for i in range(5))
     entries = spark.createDataFrame([(i, j, float(a[i, j])) for i in range(40) for j in range(25)], "row bigint, col bigint, x double")
-    left, right, values = factor.truncated_svd(entries, k=3, rounds=5)
+    left, right, values = factor.truncated_svd(entries, k=3)
     u, s, vt = np.linalg.svd(a)
     assert values == pytest.approx(s[:3], rel=1e-6)
     lm = left.orderBy("row").toPandas()[["c0", "c1", "c2"]].to_numpy()
@@ -139,6 +142,22 @@ def test_svd_against_numpy(spark):
     assert lm @ rm.T == pytest.approx(u[:, :3] * s[:3] @ vt[:3], abs=1e-5)
 
 
+def test_svd_of_real_ratings_and_of_low_rank(spark):
+    """Slowly falling values, and fewer than k."""
+    ratings = views.train(spark, SF).select(F.col("user_id").alias("row"), F.col("item_id").alias("col"), (F.col("rating") - 2.5).alias("x"))
+    rows = ratings.toPandas()
+    a = rows.pivot(index="row", columns="col", values="x").fillna(0.0)
+    for entries, full in ((ratings, a.to_numpy()), (spark.createDataFrame([(i, j, float((i + 1) * (j + 1))) for i in range(4) for j in range(5)], "row bigint, col bigint, x double"), np.outer(range(1, 5), range(1, 6)))):
+        left, right, values = factor.truncated_svd(entries, k=20)
+        u, s, vt = np.linalg.svd(full)
+        want = np.r_[s, np.zeros(20)][:20]
+        assert values == pytest.approx(want, abs=1e-5)
+        lm = left.orderBy("row").toPandas().iloc[:, 1:].to_numpy()
+        rm = right.orderBy("col").toPandas().iloc[:, 1:].to_numpy()
+        n = min(20, len(s))
+        assert lm @ rm.T == pytest.approx(u[:, :n] * s[:n] @ vt[:n], abs=1e-4)
+
+
 def test_surrogate_recovers_a_linear_model(spark):
     rows = [(i, float(i % 7), float(i % 5)) for i in range(40)]
     df = spark.createDataFrame(rows, "id bigint, p double, q double")
@@ -154,7 +173,9 @@ def test_linear_arms_against_numpy(spark):
     x = rng.random((20, 3)).round(3)
     log = [(int(u), int(a), float(rng.choice([-1, 1]))) for u in range(20) for a in rng.choice(8, 3, replace=False)]
     contexts = spark.createDataFrame([(u, [float(v) for v in x[u]]) for u in range(20)], "user_id bigint, x array<double>")
-    got = policy.linear_arms(contexts, spark.createDataFrame(log, "user_id bigint, arm bigint, reward double"), 3, k=2)
+    rewards = spark.createDataFrame(log, "user_id bigint, arm bigint, reward double")
+    got = policy.linear_arms(contexts, rewards, 3, k=2)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, policy.linear_arms(contexts, rewards, 3, k=2, block=3).collect()))
     best = {}
     for arm in range(8):
         a, b = np.eye(3), np.zeros(3)

@@ -256,16 +256,22 @@ def side_features(spark, sf):
     return features(spark, sf).select("user_id", "item_id", "rating", "year", F.round("avg_rating", 6).alias("avg_rating"), F.round("affinity", 6).alias("affinity"), "n_tags")
 
 
-def features(spark, sf):
-    """Item year and mean rating, and the user's weighted preference for the item's tags (on train)."""
+def features(spark, sf, pairs=None):
+    """Item year and mean rating, and the user's weighted preference for the item's tags, all of train, for ``pairs`` (train's own by default).
+
+    An item that train lacks has the global mean, a user that it lacks no preference.
+    """
     ratings, tags = views.train(spark, sf), views.item_tags(spark, sf)
+    pairs = ratings if pairs is None else pairs
     means = ratings.groupBy("item_id").agg(F.avg("rating").alias("avg_rating"))
+    overall = ratings.agg(F.avg("rating").alias("g")).scalar()
     years = views.items(spark, sf).select("item_id", texts.year(F.col("title"), texts.TITLE_YEAR).cast("double").alias("year"))
     totals = ratings.groupBy("user_id").agg(F.sum("rating").alias("t"))
     pref = ratings.join(tags, "item_id").groupBy("user_id", "tag").agg(F.sum("rating").alias("s")).join(totals, "user_id").select("user_id", "tag", (F.col("s") / F.col("t")).alias("p"))
-    liking = ratings.select("user_id", "item_id").join(tags, "item_id").join(pref, ["user_id", "tag"], "left").groupBy("user_id", "item_id").agg(
+    liking = pairs.select("user_id", "item_id").join(tags, "item_id").join(pref, ["user_id", "tag"], "left").groupBy("user_id", "item_id").agg(
         F.sum(F.coalesce("p", F.lit(0.0))).alias("affinity"), F.count(F.lit(1)).alias("n_tags"))
-    return ratings.join(means, "item_id").join(years, "item_id").join(liking, ["user_id", "item_id"])
+    known = pairs.join(means, "item_id", "left").withColumn("_g", overall).withColumn("avg_rating", F.coalesce("avg_rating", "_g")).drop("_g")
+    return known.join(years, "item_id").join(liking, ["user_id", "item_id"])
 
 
 # --- explanations -----------------------------------------------------------------------

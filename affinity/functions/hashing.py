@@ -21,6 +21,7 @@ def uniform(*parts) -> Column:
     return (hash32(*parts) + F.lit(0.5)) / F.lit(float(DRAW_RANGE))
 
 
-def hash_bucket(column: Column, n: int) -> Column:
-    """Hash any value, a feature array included, to one of ``n`` buckets."""
-    return F.pmod(F.xxhash64(column), F.lit(n))
+def hash_bucket(features: Column, n: int, digits: int = 6) -> Column:
+    """Hash an array of numbers, each to ``digits`` decimals, to one of ``n`` buckets."""
+    scaled = F.transform(features, lambda x: F.round(x * F.lit(10.0**digits)).cast("bigint").cast("string"))
+    return F.pmod(hash32("features", F.array_join(scaled, ",")), F.lit(n))

@@ -233,10 +233,15 @@ e AS (SELECT model, sqrt(avg((rating - pred) * (rating - pred))) AS rmse FROM m
 SELECT model, count(*) AS n_users, round(any_value(rmse), 6) AS rmse, round(avg(hits / 5), 6) AS precision, round(avg(CASE WHEN rel > 0 THEN hits / rel ELSE 0 END), 6) AS recall FROM u JOIN e USING (model) GROUP BY 1""")
 def cold_start(spark, sf):
     """Scores of two models on users with at most 25 training ratings."""
+    return cold_scores(meta(spark, sf), views.train(spark, sf), ["cf", "cbf"])
+
+
+def cold_scores(features, ratings, names):
+    """Error, precision and recall at 5 of the models in the columns ``names``, over cold users' rows of ``features``."""
     from affinity.functions.scalars import ratio
 
-    features = meta(spark, sf).join(rc.cold_users(views.train(spark, sf)), "user_id", "left_semi")
-    models = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.round(m, 6).alias("pred")) for m in ("cf", "cbf")]))
+    features = features.join(rc.cold_users(ratings), "user_id", "left_semi")
+    models = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.round(m, 6).alias("pred")) for m in names]))
     m = features.select("user_id", "item_id", "rating", models.alias("m")).select("user_id", "item_id", "rating", "m.*")
     liked = F.col("rating") >= 4
     top = top_k(m, ["model", "user_id"], [F.desc("pred"), "item_id"], 5).groupBy("model", "user_id").agg(F.count_if(liked).alias("hits"))

@@ -122,7 +122,8 @@ def dense_index(spark, sf):
     return relational.dense_index(views.interactions(spark, sf), "user_id")
 
 
-@query("hash_bucket")
+@query("hash_bucket", f"""WITH {P}
+SELECT CAST('0x' || substr(md5('features:' || array_to_string(list_transform(v, lambda x: CAST(round(x * 1000000.0::DOUBLE) AS BIGINT)), ',')), 1, 8) AS BIGINT) % 50 AS bucket, count(*) AS n FROM points GROUP BY 1""")
 def hash_bucket(spark, sf):
     bucket = hashing.hash_bucket(F.col("v"), 50).alias("bucket")
     return views.points(spark, sf).groupBy(bucket).agg(F.count(F.lit(1)).alias("n"))

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.feature import IDF, BucketedRandomProjectionLSH, HashingTF, Normalizer
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import BucketedRandomProjectionLSH
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affinity.functions import arrays, hashing, scalars, texts
+from affinity.functions import hashing, scalars, texts
 from affinity.operators import overlap, relational, signatures as sg, termweights as tw
 from affinity.plans import views
 from affinity.plans.queries.text import TF_SQL, corpus_weights
@@ -56,17 +56,24 @@ def cosine_top_n(spark, sf):
 
 # --- pyspark.ml features --------------------------------------------------------------
 
-def hashed_rows(spark, sf, n_features=10000) -> DataFrame:
-    docs = views.corpus(spark, sf).select("doc_id", texts.tokens(F.col("text")).alias("words"))
-    counted = HashingTF(inputCol="words", outputCol="raw", numFeatures=n_features).transform(docs)
-    weighted = IDF(inputCol="raw", outputCol="features").fit(counted).transform(counted)
-    return Normalizer(inputCol="features", outputCol="unit").transform(weighted)
+HASHED = 10000
 
 
-@query("hashed_tfidf")
+@query("hashed_tfidf", f"""WITH {views.TOKENS_SQL},
+tf AS MATERIALIZED (SELECT doc_id, CAST('0x' || substr(md5('term:' || word), 1, 8) AS BIGINT) % {HASHED} AS bucket, count(*) AS tf FROM tokens GROUP BY 1, 2),
+df AS (SELECT bucket, count(*) AS df FROM tf GROUP BY 1), n AS (SELECT count(*) AS n FROM documents),
+x AS (SELECT doc_id, tf * ln((n.n + 1) / (df + 1)) AS x FROM tf JOIN df USING (bucket), n)
+SELECT doc_id, count(*) FILTER (WHERE x <> 0) AS n_features, round(sqrt(coalesce(sum(x * x), 0)), 6) AS norm FROM documents LEFT JOIN x USING (doc_id) GROUP BY 1""")
 def hashed_tfidf(spark, sf):
-    v = vector_to_array("features")
-    return hashed_rows(spark, sf).select("doc_id", F.size(F.filter(v, lambda x: x != 0)).cast("bigint").alias("n_features"), F.round(arrays.norm(v), 6).alias("norm"))
+    """Weights of hashed terms, one row for each document and bucket it fills; smooth IDF over buckets."""
+    docs = views.corpus(spark, sf)
+    words = tw.term_frequencies(docs)
+    hashed = words.groupBy("doc_id", F.pmod(hashing.hash32("term", F.col("word")), F.lit(HASHED)).alias("word")).agg(F.sum("tf").alias("tf"))
+    x = F.col("tfidf")
+    weights = tw.tfidf(hashed, tw.count_docs(docs), "smooth")
+    norms = weights.groupBy("doc_id").agg(F.count_if(x != 0).alias("n"), F.sqrt(F.sum(x * x)).alias("length"))
+    return docs.select("doc_id").join(norms, "doc_id", "left").select(
+        "doc_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_features"), F.round(F.coalesce("length", F.lit(0.0)), 6).alias("norm"))
 
 
 @query("ml_idf", f"""WITH {TF_SQL}, s AS (SELECT doc_id, tf * ln((n.n + 1) / (df + 1)) AS x FROM tf JOIN df USING (word), n)

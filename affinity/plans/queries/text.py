@@ -116,7 +116,8 @@ def _quoted(words) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in words)
 
 
-@query("stopwords")
+@query("stopwords", f"""WITH {views.TOKENS_SQL}, counted AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE word NOT IN ({_quoted(texts.ENGLISH_STOP_WORDS)})) AS n_kept FROM tokens GROUP BY 1)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_kept, 0) AS n_kept FROM documents LEFT JOIN counted USING (doc_id)""")
 def stopwords(spark, sf):
     """Words left per document after the default English list."""
     words = views.corpus(spark, sf).select("doc_id", texts.tokens(F.col("text")).alias("words"))

@@ -1,7 +1,9 @@
 """k-center, k-means++ seeding, objective and assignment over (id, v) points.
 
 Only the k chosen centers travel through the driver. A round is one scan with
-vectorised distances and a one-row aggregate.
+vectorised distances and a one-row aggregate. The least distance of every point
+so far is written every few rounds, so that a round measures the centers chosen
+since then only.
 """
 
 from __future__ import annotations
@@ -13,8 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from affinity.functions.hashing import uniform
+from affinity.sources.scratch import materialize
 
 CENTERS = "center bigint, id bigint, v array<double>"
+ROUNDS_KEPT = 8  # rounds after which the least distances are written
 PLACES = 9  # distances are compared after rounding, ties go to the smallest id
 
 
@@ -49,13 +53,19 @@ def objective(points: DataFrame, centers: DataFrame) -> DataFrame:
 
 
 def _grow(points: DataFrame, first, k: int, best) -> DataFrame:
-    chosen = [first]
+    chosen, fresh = [first], [first]
+    held = points.select("id", "v", F.lit(float("inf")).alias("least"))
     while len(chosen) < k:
-        d = _nearest([c["v"] for c in chosen])(F.col("v"))["d"]
-        following = points.select("id", "v", d.alias("d")).agg(best(len(chosen)).alias("p")).first()["p"]  # one point
+        d = F.least(F.col("least"), _nearest([c["v"] for c in fresh])(F.col("v"))["d"])
+        measured = held.select("id", "v", d.alias("d"))
+        if len(fresh) == ROUNDS_KEPT:
+            measured = materialize(measured, "least")
+            held, fresh = measured.withColumnRenamed("d", "least"), []
+        following = measured.agg(best(len(chosen)).alias("p")).first()["p"]  # one point
         if following is None:
             break
         chosen.append(following)
+        fresh.append(following)
     rows = [(i, c["id"], c["v"]) for i, c in enumerate(chosen)]
     return points.sparkSession.createDataFrame(rows, CENTERS)
 

@@ -262,6 +262,7 @@ def estimated(members, n, threshold):
     return sg.estimated_pairs(doc_signatures(members, n), threshold)
 
 
+# The signature lengths compared.
 SWEEP = [20, 60, 150, 300, 600]
 
 
@@ -276,6 +277,7 @@ def minhash_sweep(spark, sf):
     return sg.agreement(pairs, sig, SWEEP).select("a", "b", F.round("jaccard", 6).alias("jaccard"), *[f"est_{t}" for t in SWEEP])
 
 
+# Rows in a band, and bands.
 ROWS, BANDS = 5, 20
 BANDS_SQL = f"""bands AS MATERIALIZED (SELECT id, slot // {ROWS} AS band, string_agg(CAST(value AS VARCHAR), ',' ORDER BY slot) AS key FROM sig GROUP BY 1, 2),
 cand AS MATERIALIZED (SELECT DISTINCT p.id AS a, q.id AS b FROM bands p JOIN bands q ON p.band = q.band AND p.key = q.key AND p.id < q.id)"""
@@ -305,6 +307,7 @@ def lsh_probability(spark, sf):
     return scored.select("a", "b", "est", F.round(p, 6).alias("probability"), (F.col("est") >= 0.6).alias("verified"))
 
 
+# The (rows, bands) settings compared.
 CONFIGS = [(5, 10), (5, 20), (5, 40), (10, 20)]
 
 

@@ -190,19 +190,20 @@ def links(prints: DataFrame, most: int = MOST_IN_BUCKET) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, fp, component_id) for each row: the smallest doc_id reachable over links.
+    """(doc_id, text_key, fp, component_id, component) for each row: the smallest doc_id and the smallest fp reachable over links.
 
     Texts without words share the fingerprint zero and are linked like any
     other; null texts are empty. A null doc_id is never the smallest, unless a
-    group has no other, whose id is then null. Repeated rows stay, in one
-    group. An empty table gives an empty one.
+    group has no other, whose id is then null. Two groups may share a
+    component_id (null, or an id that several texts have), never a component.
+    Repeated rows stay, in one group. An empty table gives an empty one.
     """
     rows = materialize(fingerprints(docs), "fingerprints")
     # Documents with one fingerprint are one node, so copies never meet as pairs.
     nodes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     # Written, so that the last join stands alone and its large partitions can be split.
     reach = materialize(smallest_reachable(materialize(links(nodes.select("fp")), "links"), nodes), "reach")
-    return rows.join(reach, "fp").select("doc_id", "text_key", "fp", "component_id")
+    return rows.join(reach, "fp").select("doc_id", "text_key", "fp", "component_id", "component")
 
 
 def digest(docs: DataFrame) -> DataFrame:
@@ -212,6 +213,6 @@ def digest(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each group one row of the smallest doc_id stays."""
     least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("x")
-    one = near_duplicates(docs).groupBy("component_id").agg(least).select("x.doc_id", "x.text_key")
+    one = near_duplicates(docs).groupBy("component").agg(least).select("x.doc_id", "x.text_key")
     key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     return matching(docs, key, one, "left_semi").withColumn("__key", key).dropDuplicates(["doc_id", "__key"]).drop("__key")

@@ -101,6 +101,15 @@ def test_groups_and_awkward_rows(spark):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted({g for _, _, g in plain_groups(rows)}, key=str)
 
 
+def test_one_of_each_keeps_unrelated_texts_of_one_id(spark):
+    """Null ids, and an id that is the smallest of two groups, don't make unrelated texts a group."""
+    draw = np.random.default_rng(3)
+    a, b, c, d = (" ".join(f"{n}{w}" for w in draw.integers(0, 10**6, size=300)) for n in "abcd")
+    rows = [(None, a), (None, b), (None, b), (1, c), (1, d), (2, c), (3, d.upper())]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(None, a), (None, b), (1, c), (1, d)], key=str)
+
+
 def test_whole_table(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")

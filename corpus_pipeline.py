@@ -12,9 +12,13 @@ from affinity.sources.scratch import materialize
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def _recounted(out: DataFrame, docs: DataFrame) -> DataFrame:
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep, unchanged."""
-    return quality.filtered(docs)
+    """Documents that the quality rules keep, lines above the limit taken out, n_chars as of the new text."""
+    return _recounted(quality.cleaned(docs), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +33,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, found secrets masked, n_chars as of the new text."""
-    out = secrets.redacted(docs)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    return _recounted(secrets.redacted(docs), docs)
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

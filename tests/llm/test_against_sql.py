@@ -1,5 +1,7 @@
 """Operators with SQL twins on rows that are awkward: nulls, ties, repeated rows, long texts, clashing names."""
 
+import re
+
 import duckdb
 import pandas as pd
 import pytest
@@ -98,6 +100,33 @@ def test_quality_keeps_rows_as_they_are(spark):
     assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == want
 
 
+def test_quality_takes_lines_out(spark):
+    """The kept rows, without the lines that more than three texts of the host hold; blank lines stay."""
+    plain = lambda line: re.sub("[0-9]+", "0", " ".join(w.decode() for w in line.encode().lower().split()))
+    values = [*rows(), (300, "\n  \nMENU 5 2 3\n\nown first line\nmenu  7 8 9\nown last line " + " ".join(f"{x}{y}" for x in "abcde" for y in "uvwxyz") + "\n", "src0")]
+    held = {}
+    for _, text, host in values:
+        for line in (text or "").split("\n"):
+            held.setdefault((host, plain(line)), set()).add(text)
+    want = []
+    for r in quality.filtered(frame(spark, values), max_texts=3).collect():
+        lines = [x for x in r.text.split("\n") if not plain(x) or len(held[r.source, plain(x)]) <= 3]
+        want.append((str(r.doc_id), "\n".join(lines)))
+    out = quality.cleaned(frame(spark, values), max_texts=3)
+    assert out.columns == NAMES
+    got = sorted((str(r.doc_id), r.text) for r in out.collect())
+    assert got == sorted(want)
+    assert dict(got)["300"].startswith("\n  \n\nown first line\nown last line au ") and dict(got)["300"].endswith(" ez\n")
+    assert quality.cleaned(frame(spark, [])).collect() == []
+
+
+def test_pipeline_hands_on_texts_without_common_lines(spark):
+    # Digits are alike in a normalised line, so each text has letters of its own.
+    docs = [(i, f"Follow us on our site\nText {i} has " + " ".join(f"{chr(97 + i // 26)}{chr(97 + i % 26)}{chr(97 + j)}" for j in range(25)), "h", 0) for i in range(101)]
+    out = dict(corpus_pipeline.STAGES)["quality_rules"](spark, spark.createDataFrame(docs, "doc_id bigint, text string, source string, n_chars bigint"), SF).collect()
+    assert sorted((r.doc_id, r.text, r.n_chars) for r in out) == [(i, text.split("\n")[1], len(text.split("\n")[1])) for i, text, *_ in docs]
+
+
 def test_secrets(spark):
     same(secrets.digest(frame(spark)), duck(), catalogue.OP6_SQL)
     assert secrets.digest(frame(spark, [])).collect() == []

@@ -43,8 +43,10 @@ TEMPLATES = [
 ]
 #: Least cosine of a passage to a template.
 LEAST = 0.75
-#: Lines of a notice that is broken over several.
-BLOCK = 12
+#: Lines of a notice that is broken over several: with a word or more of it in each, it has no more than the longest template has words.
+MOST_LINES = max(len(words_of(t)) for _, t in TEMPLATES)
+#: Summed term by term, a cosine may be off by rounding; from so much below a limit on it is taken again as a whole.
+SLACK = 1e-9
 
 
 def _vocabulary() -> list[str]:
@@ -85,8 +87,22 @@ class Matcher:
         t = min(dots, key=lambda t: (-round(dots[t], 12), t))
         return dots[t] / sqrt(norm), t
 
+    def growing(self, run: list[tuple[int, list[bytes]]]) -> Iterator[tuple[int, float]]:
+        """The largest cosine of the first two, three, ... lines of a run, each from the one before it."""
+        tf: Counter = Counter()
+        dots, norm = {}, 0.0
+        for b, (_, words) in enumerate(run, 1):
+            for w in words:
+                idf = self.idf.get(w, self.unseen)
+                norm += (2 * tf[w] + 1) * idf * idf
+                tf[w] += 1
+                for t, weight in self.terms.get(w, ()):
+                    dots[t] = dots.get(t, 0.0) + idf * weight
+            if b > 1:
+                yield b, max(dots.values(), default=0.0) / sqrt(norm)
+
     def scan(self, text: str | None) -> tuple[str | None, float, int]:
-        """(licence, cosine, line) of the passage nearest to a template; passages are lines and runs of licence-like lines."""
+        """(licence, cosine, line) of the passage nearest to a template; passages are lines and up to MOST_LINES licence-like ones in a row."""
         top = (0.0, -1, -1)
         run: list[tuple[int, list[bytes]]] = []
         lines = (text or "").split("\n")
@@ -97,16 +113,17 @@ class Matcher:
                 found, t = self.best(words)
                 if found >= LEAST and round(found, 12) > round(top[0], 12):
                     top = (found, t, i)
-            if near >= LEAST / 2 and len(run) < BLOCK:
+            if near >= LEAST / 2:
                 run.append((i, words))
                 continue
-            if len(run) > 1:
-                for a in range(len(run)):
-                    for b in range(a + 2, len(run) + 1):
-                        found, t = self.best([w for _, ws in run[a:b] for w in ws])
-                        if found >= LEAST and round(found, 12) > round(top[0], 12):
-                            top = (found, t, run[a][0])
-            run = [(i, words)] if near >= LEAST / 2 else []
+            for a in range(len(run) - 1):
+                for b, about in self.growing(run[a : a + MOST_LINES]):
+                    if about < max(LEAST, top[0]) - SLACK:
+                        continue
+                    found, t = self.best([w for _, ws in run[a : a + b] for w in ws])
+                    if found >= LEAST and round(found, 12) > round(top[0], 12):
+                        top = (found, t, run[a][0])
+            run = []
         return (TEMPLATES[top[1]][0], top[0], top[2]) if top[1] >= 0 else (None, 0.0, -1)
 
 

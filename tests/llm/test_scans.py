@@ -81,6 +81,20 @@ def test_licenses(spark):
     assert licenses.scan(files.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("before", range(0, 30))
+def test_notice_broken_over_lines_anywhere_in_a_run(before):
+    """The same notice after any number of licence-like lines, and one with a word in each line."""
+    own = licenses.Matcher(1000, {"of": 300, "the": 400, "software": 2, "modification": 2})
+    head = ["the software of software"] * before
+    parts = ["Permission is hereby granted, free of", "charge, to any person obtaining a copy", "of this software and associated documentation files (the", "Software), to deal in the Software without restriction"]
+    assert all(licenses.LEAST / 2 <= own.bound(words_of(x)) for x in head + parts)
+    name, found, line = own.scan("\n".join(head + parts))
+    assert (name, line) == ("MIT", before) and found == pytest.approx(1)
+    longest = max(licenses.TEMPLATES, key=lambda x: len(words_of(x[1])))
+    name, found, line = own.scan("\n".join(head + [w.decode() for w in words_of(longest[1])]))
+    assert (name, line) == (longest[0], before) and found == pytest.approx(1)
+
+
 def test_cosines_against_dense_vectors(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(F.col("doc_id").alias("id"), F.lit("x").alias("path"), "text")
     lines = [words_of(line) for r in docs.collect() for line in r.text.split("\n")]

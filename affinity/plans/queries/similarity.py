@@ -106,7 +106,7 @@ def brp_neighbours(spark, sf):
 
 @query("brp_join")
 def brp_join(spark, sf):
-    """Approximate pairs within a distance; the bucket is as wide as the distance asked for."""
+    """Approximate pairs within a distance; buckets are far narrower than it, so many pairs are missed (see the README)."""
     p, model = projected(spark, sf, 0.1)
     pairs = model.approxSimilarityJoin(p, p, 1.2, distCol="distance")
     return pairs.select(F.col("datasetA.id").alias("a"), F.col("datasetB.id").alias("b"), F.round("distance", 6).alias("distance")).filter("a < b")

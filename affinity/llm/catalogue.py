@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinity.llm import decontamination, encoding, licenses, quality, secrets, sharding, simhash, substring_dedup, suffix_dedup, toxicity
+from affinity.llm import alignment, decontamination, encoding, licenses, privacy, quality, resampling, secrets, sharding, simhash, substring_dedup, suffix_dedup, toxicity
 from affinity.llm.frames import BLANKS, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,3 +188,44 @@ def op9(spark, sf):
 def op10(spark, sf):
     """Words of every document that repeat those of documents with smaller ids."""
     return substring_dedup.digest(table(spark, sf, "documents"))
+
+
+@query("op11_personal_data")
+def op11(spark, sf):
+    """Personal values of every document, and the terms that disclose them."""
+    return privacy.digest(table(spark, sf, "documents"))
+
+
+# The checksum of a word from its bytes, by a table that the polynomial gives.
+OP12_SQL = rf"""
+WITH poly AS (SELECT list_transform(range(256), lambda b: list_reduce([b] || range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS told),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_ITEM_WORD}') AS w FROM documents),
+f AS (SELECT r, unnest(w) AS w FROM d),
+g AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_ITEM_WORD}')) AS w FROM benchmark),
+v AS (SELECT w, xor(list_reduce([4294967295] || list_transform(range(CAST(length(hex(w)) / 2 AS BIGINT)), lambda i: CAST('0x' || substr(hex(w), 2 * i + 1, 2) AS BIGINT)),
+    lambda c, x: xor(c >> 8, told[(xor(c, x) & 255) + 1])), 4294967295) % {resampling.BUCKETS} AS b FROM (SELECT w FROM f UNION SELECT w FROM g), poly),
+s AS (SELECT b, count(*) AS n FROM f JOIN v USING (w) GROUP BY b),
+t AS (SELECT b, count(*) AS n FROM g JOIN v USING (w) GROUP BY b),
+gain AS (SELECT v.b, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + {resampling.BUCKETS})::DOUBLE
+    / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + {resampling.BUCKETS})::DOUBLE))) AS BIGINT) AS x FROM (SELECT DISTINCT b FROM v) v LEFT JOIN s USING (b) LEFT JOIN t USING (b)),
+sums AS (SELECT r, sum(x) AS weight FROM f JOIN v USING (w) JOIN gain USING (b) GROUP BY r),
+scored AS (SELECT d.r, doc_id, CAST(len(w) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+    CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('{resampling.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5) / 4294967296))) AS BIGINT) AS score
+  FROM d LEFT JOIN sums ON sums.r = d.r),
+placed AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST, n_features) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= {resampling.LEAST_WORDS})
+SELECT doc_id, n_features, weight, score, CAST(CASE WHEN place <= {resampling.SHARE[0]} * n // {resampling.SHARE[1]} THEN place END AS BIGINT) AS rank FROM scored LEFT JOIN placed ON placed.r = scored.r"""
+
+
+@query("op12_importance_resampling", OP12_SQL)
+def op12(spark, sf):
+    """Likeness of every document to the benchmark, and the places of those drawn."""
+    return resampling.digest(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+BYTE_BPE, PIECE_BPE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op13_token_alignment")
+def op13(spark, sf):
+    """Groups and links of the tokens that two tokenizers make of every document."""
+    return alignment.align(table(spark, sf, "documents"), BYTE_BPE, PIECE_BPE)

@@ -3,8 +3,9 @@
 import itertools
 import random
 from collections import Counter
-from math import log, sqrt
+from math import exp, log, sqrt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,8 +64,104 @@ def test_held_out_accuracy(spark):
     out = toxicity.digest(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
     told = out.where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic"), "doc_id")
     got = {(r.toxic, r.predicted): r["count"] for r in told.groupBy("toxic", "predicted").count().collect()}
-    assert got[1, 1] / (got[1, 1] + got.get((1, 0), 0)) > 0.8
+    assert got[1, 1] / (got[1, 1] + got.get((1, 0), 0)) > 0.9
     assert got.get((0, 1), 0) / (got[0, 0] + got.get((0, 1), 0)) < 0.01
+    some = {(r.toxic, r.some): r["count"] for r in told.groupBy("toxic", (F.col("n_passages") > 0).alias("some")).count().collect()}
+    assert some[0, True] / (some[0, True] + some[0, False]) < 0.01 and some[1, True] / (some[1, True] + some[1, False]) > 0.9
+    assert out.where("score IS NULL OR isnan(score) OR score < 0 OR score > 1").count() == 0
+
+
+def toxic_rows(n=300, copies=0, seed=2):
+    """(doc_id, text) and (doc_id, quality, toxic): every fifth text holds insults, in some of ``copies`` near copies of each."""
+    draw = random.Random(seed)
+    words, rows, labels = [f"w{i}" for i in range(400)], [], []
+    for i in range(n):
+        text = draw.choices(words, k=80) + [f"own{i}a", f"own{i}b"]
+        if i % 5 == 0:
+            text[30:30] = draw.sample(["foul", "vile", "nastyone", "nastytwo", "nastyfew"], 3)
+        for c in range(copies + 1):
+            near = [*text]
+            near[c % 20] = f"edit{i}"
+            rows.append((i * (copies + 1) + c, " ".join(near)))
+            labels.append((rows[-1][0], 0, int(i % 5 == 0)))
+    return rows, labels
+
+
+def toxic_model(spark, rows, labels):
+    return toxicity.fit(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+
+
+def test_long_toxic_runs(spark):
+    """The more toxic words, the higher the score; nothing overflows or turns back."""
+    rows, labels = toxic_rows()
+    model = toxic_model(spark, rows, labels)
+    runs = spark.createDataFrame([(n, "foul vile " * n) for n in (0, 1, 2, 25, 100, 1000, 20_000)], "doc_id bigint, text string")
+    out = sorted(toxicity.scan(runs, model).collect(), key=lambda r: r.doc_id)
+    scores = [r.score for r in out]
+    assert scores == sorted(scores) and scores[0] < 0.5 < scores[2] and scores[-1] <= 1
+    assert [len(r.passages) for r in out[2:]] == [1] * 5 and [(p.start, p.end) for p in out[-1].passages] == [(0, 40_000)]
+    assert all(0 <= p.expected < toxicity.LEAST_EXPECTED for r in out for p in r.passages)
+
+
+def test_near_copies_teach_once(spark):
+    """Words of one toxic text are no sign, however many near copies of it are labelled; the signs stay the same."""
+    models = [toxic_model(spark, *toxic_rows(copies=c)) for c in (0, 7)]
+    for model in models:
+        signs = {w.decode() for w in model.scores if not w.endswith(b"*")}
+        assert {"foul", "vile"} <= signs <= {"foul", "vile", "nastyone", "nastytwo", "nastyfew"}
+        assert np.isfinite([model.k, model.slope, model.offset, *model.scores.values()]).all() and model.slope > 0
+
+
+def test_bands_meet_for_near_duplicates():
+    draw = random.Random(5)
+    words = [f"w{i}" for i in range(3000)]
+    met = []
+    for edits in (0, 4, 200):
+        got = 0
+        for _ in range(40):
+            a = draw.choices(words, k=300)
+            b = [*a]
+            for i in draw.sample(range(300), edits):
+                b[i] = "x"
+            got += not set(toxicity.bands_of(" ".join(a))).isdisjoint(toxicity.bands_of(" ".join(b)))
+        met.append(got)
+    assert met[0] == 40 and met[1] >= 39 and met[2] == 0
+    assert toxicity.bands_of("") == [] and len(toxicity.bands_of("One two")) == toxicity.BANDS and toxicity.bands_of("one TWO") == toxicity.bands_of("One two")
+
+
+def test_unseen_word_counts_by_its_stem(spark):
+    model = toxic_model(spark, *toxic_rows())
+    assert b"nast*" in model.scores
+    found = lambda text: toxicity.passages(text, model)[1]
+    assert found("w1 nastymany w2") and found("nast") and not found("w1 w2 nas")
+    own = toxicity.Model(model.scores, model.other, frozenset([b"nastymany"]))
+    assert not toxicity.passages("w1 nastymany w2", own)[1]
+
+
+def test_scan_against_plain_scores(spark):
+    """Evidence, curve and passages of the scan by the definition."""
+    rows, labels = toxic_rows()
+    model = toxic_model(spark, rows, labels)
+    rows = [*rows, (None, None), (-1, ""), (-2, "foul"), (-2, "foul")]
+    out = toxicity.scan(spark.createDataFrame(rows, "doc_id bigint, text string"), model).collect()
+    assert len(out) == len(rows)
+    for r, (_, text) in zip(out, rows):
+        n, found = toxicity.passages(text, model)
+        over = [s - log(model.k) - log(max(n, 1)) for *_, s in found]
+        told = 1 / (1 + exp(-(model.slope * log(1 + sum(max(0, x) for x in over)) + model.offset)))
+        assert r.n == n and r.score == pytest.approx(told)
+        assert [(p.start, p.end) for p in r.passages] == [(a, b) for (a, b, _), x in zip(found, over) if exp(-x) < toxicity.LEAST_EXPECTED]
+
+
+def test_calibration():
+    """Of the expected numbers under the fitted k, none but the strongest few is below the observed one."""
+    draw = np.random.default_rng(1)
+    harmless = [(int(n), list(draw.exponential(1, 2) + np.log(n) - 6)) for n in draw.integers(50, 500, 4000)]
+    k = toxicity._calibrated(harmless)
+    over = np.sort([x - np.log(n) for n, found in harmless for x in found])[::-1]
+    told = len(harmless) * k * np.exp(-over)
+    assert (told[20:] >= np.arange(21, len(over) + 1) * (1 - 1e-9)).all() and told[400] < 3 * 400
+    assert toxicity._calibrated([(10, []), (0, [])]) == pytest.approx(0.5 / 11)
 
 
 def test_licenses(spark):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,15 +28,17 @@ SHARD = 1 << 19
 #: Linked id pairs expanded together, before those of one document are merged.
 PAIRS = 1 << 21
 #: Distinct pieces of text whose ids are held, and their characters.
-KNOWN = 300_000
-KNOWN_CHARS = 1 << 23
+KNOWN = 500_000
+KNOWN_CHARS = 1 << 24
+#: Pieces that are encoded as one text.
+TOGETHER = 1_000
 #: Bytes of one row group of the written shards; bounds what a scan holds.
 ROW_GROUP = 1 << 24
 # A blank after a character that is no blank in either tokenizer: no token and
 # no rule of theirs spans the place before it. A piece of blanks only is left
 # with the one before it, as the second tokenizer makes nothing of an empty text.
 CUT = re.compile(r"(?:(?<=[!-~])|(?<=\w))(?= +[^ ])")
-ODD = re.compile(r"(?:^|[^!-~\w]) | \Z")
+ODD = re.compile(r" (?:(?<![!-~\w] )|\Z)")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -70,6 +73,7 @@ class Pieces:
         self.side_a = Side([bytes(alphabet[c] for c in t) if all(c in alphabet for c in t) else t.encode() for t in names], ",", "|")
         pieces = ((i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))
         self.side_b = Side([bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in pieces], ",", ";")
+        self.sides = self.side_a, self.side_b
         self.forget()
 
     def forget(self) -> None:
@@ -79,21 +83,42 @@ class Pieces:
         self.edge = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
         self.whole = np.zeros(0, bool)
 
+    def _ids(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)], self.b.encode([t[1:] for t in texts], num_threads=1)
+
+    def _spelled(self, text: str, made: tuple[list[int], ...]) -> bool:
+        return all(b"".join(map(side.bytes.__getitem__, ids)) == text.encode() for side, ids in zip(self.sides, made))
+
+    def _add(self, ids: tuple[np.ndarray, ...], edges: tuple[np.ndarray, ...], whole: list[bool]) -> None:
+        for side in range(2):
+            self.ids[side] = np.r_[self.ids[side], ids[side]]
+            self.edge[side] = np.r_[self.edge[side], self.edge[side][-1] + edges[side]]
+        self.whole = np.r_[self.whole, np.array(whole, bool)]
+
     def learn(self, pieces: list[str]) -> None:
+        """Encodes the pieces not seen before: as one text those that may be cut after, the others one by one."""
         new = [p for p in dict.fromkeys(pieces) if p not in self.number]
-        if not new:
-            return
-        a = [e.ids for e in self.a.encode_batch([*new], add_special_tokens=False)]
-        b = self.b.encode([p[1:] for p in new], num_threads=1)
-        text = [p.encode() for p in new]
-        whole = [b"".join(map(self.side_a.bytes.__getitem__, x)) == t == b"".join(map(self.side_b.bytes.__getitem__, y)) for t, x, y in zip(text, a, b)]
-        for side, made in enumerate((a, b)):
-            size = np.fromiter(map(len, made), np.int64, len(made))
-            self.ids[side] = np.r_[self.ids[side], np.fromiter(chain.from_iterable(made), np.int32, int(size.sum()))]
-            self.edge[side] = np.r_[self.edge[side], self.edge[side][-1] + np.cumsum(size)]
-        self.whole = np.r_[self.whole, np.array(whole, bool)]
-        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
-        self.chars += sum(map(len, new))
+        joined, single = [], []
+        for p in new:
+            (joined if "!" <= p[-1] <= "~" or p[-1].isalnum() else single).append(p)
+        parts = [joined[at : at + TOGETHER] for at in range(0, len(joined), TOGETHER)]
+        texts = ["".join(p) for p in parts]
+        known: list[str] = []
+        for part, text, *made in zip(parts, texts, *self._ids(texts)):
+            if not self._spelled(text, made):
+                single += part
+                continue
+            ids = tuple(np.array(x, np.int32) for x in made)
+            stop = np.cumsum(np.fromiter(map(len, map(str.encode, part)), np.int64, len(part)))
+            self._add(ids, tuple(np.searchsorted(np.cumsum(side.lengths[i]), stop) + 1 for side, i in zip(self.sides, ids)), [True] * len(part))
+            known += part
+        made = self._ids(single)
+        self._add(
+            tuple(np.fromiter(chain.from_iterable(x), np.int32) for x in made), tuple(np.cumsum(np.fromiter(map(len, x), np.int64, len(x))) for x in made),
+            [self._spelled(p, both) for p, *both in zip(single, *made)])
+        known += single
+        self.number.update(zip(known, range(len(self.number), len(self.number) + len(known))))
+        self.chars += sum(map(len, known))
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For both tokenizers, the ids of blank + text one after the other and their number in each text; 0 where the bytes differ."""
@@ -203,6 +228,7 @@ SHARDS = "doc_id array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups a
 
 def _shard_rows(a_definition: Broadcast, b_model: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         own = pieces_of(a_definition.value, b_model.value)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()

@@ -103,8 +103,8 @@ def _all_runs(text: str, rule: Rule) -> Iterator[tuple[np.ndarray, ...]]:
         yield start + at, size, anchor, content
 
 
-def pack(pos: np.ndarray, version: np.ndarray, size: np.ndarray) -> np.ndarray:
-    return (pos.astype(np.int64) << 32) | (version.astype(np.int64) << 8) | size.astype(np.int64)
+def pack(pos: np.ndarray, size: np.ndarray) -> np.ndarray:
+    return (pos.astype(np.int64) << 8) | size.astype(np.int64)
 
 
 def _later(doc: np.ndarray, pos: np.ndarray, first: np.ndarray, within: bool) -> np.ndarray:
@@ -138,7 +138,7 @@ def _joined(doc: np.ndarray, version: np.ndarray, start: np.ndarray, end: np.nda
     return doc[at], version[at], start[at], far[np.r_[at[1:], len(far)] - 1] - shift[at]
 
 
-RUNS = "a bigint, c bigint, doc bigint, at bigint, done boolean"
+RUNS = "a bigint, c bigint, doc bigint, version bigint, at bigint, done boolean"
 
 
 def _run_rows(rule: Rule):
@@ -159,14 +159,14 @@ def _run_rows(rule: Rule):
             d, v, s, e = _joined(doc[late], version[late], start[late], start[late] + size[late] + rule.length - 1)
             if len(d):
                 spread = _mixed(d.astype(np.uint64) + s.astype(np.uint64)).view(np.int64)
-                yield pd.DataFrame({"a": spread, "c": e, "doc": d, "at": pack(s, v, np.zeros(len(s))), "done": True})
+                yield pd.DataFrame({"a": spread, "c": e, "doc": d, "version": v, "at": pack(s, np.zeros(len(s))), "done": True})
             live = ~late
-            yield pd.DataFrame({"a": anchor[live].view(np.int64), "c": content[live].view(np.int64), "doc": doc[live], "at": pack(start[live], version[live], size[live]), "done": False})
+            yield pd.DataFrame({"a": anchor[live].view(np.int64), "c": content[live].view(np.int64), "doc": doc[live], "version": version[live], "at": pack(start[live], size[live]), "done": False})
 
     return run
 
 
-MET = "a bigint, part int, parted boolean, doc bigint, version int, start int, stop int, open boolean"
+MET = "a bigint, part int, parted boolean, doc bigint, version bigint, start int, stop int, open boolean"
 
 
 def _met(rule: Rule, most: int):
@@ -174,12 +174,12 @@ def _met(rule: Rule, most: int):
 
     def settle(rows: list[np.ndarray], part: int, ongoing: np.ndarray) -> pd.DataFrame:
         """part: how many parts the anchor that goes on (ongoing) has had before."""
-        a, c, doc, at, done = rows
+        a, c, doc, version, at, done = rows
         begin = _firsts(a)
         nth = np.arange(len(a)) - begin
         parted = ongoing | (np.bincount(begin, minlength=len(a))[begin] > most)
         part = np.where(ongoing, part, 0) + nth // most
-        pos, version, size = at >> 32, (at >> 8) & 0xFFFFFF, at & 0xFF
+        pos, size = at >> 8, at & 0xFF
         stop = np.where(done, c, pos + size + rule.length - 1)
         late = _later(doc, pos, _firsts(a, c, done), rule.within) & ~done
         group = _firsts(a, done)
@@ -193,7 +193,7 @@ def _met(rule: Rule, most: int):
         held: list[np.ndarray] | None = None
         part, last = 0, None
         for batch in batches:
-            rows = [batch[k].to_numpy() for k in ("a", "c", "doc", "at", "done")]
+            rows = [batch[k].to_numpy() for k in ("a", "c", "doc", "version", "at", "done")]
             held = rows if held is None else [np.concatenate(x) for x in zip(held, rows)]
             a = held[0]
             if not len(a):
@@ -217,7 +217,7 @@ def _met(rule: Rule, most: int):
     return run
 
 
-PIECES = "a bigint, part int, parted boolean, doc bigint, version int, start int, body binary"
+PIECES = "a bigint, part int, parted boolean, doc bigint, version bigint, start int, body binary"
 
 
 def _bodies(slice_of: Callable[[str, np.ndarray, np.ndarray], list[bytes]]):
@@ -234,7 +234,7 @@ def _bodies(slice_of: Callable[[str, np.ndarray, np.ndarray], list[bytes]]):
     return run
 
 
-FOUND = "doc bigint, version int, start int, stop int, mark bigint"
+FOUND = "doc bigint, version bigint, start int, stop int, mark bigint"
 #: Settles one shard: rows of PIECES with whole (a, part) groups to rows of FOUND. Rows with mark 0 are repeats; of parted groups also the windows that are first in their shard, with their hash.
 Settle = Callable[[pd.DataFrame], pd.DataFrame]
 
@@ -290,10 +290,10 @@ def repeated(docs: DataFrame, rule: Rule, slice_of: Callable, settle: Settle, mo
 
     Documents come in the order of doc_id, a null one before all. Rows that
     share a doc_id are places of one document, so equal rows do not remove each
-    other. A null text is empty. The ranges may overlap and come in any order.
+    other; they are told apart by a 64-bit hash of the text. A null text is empty. The ranges may overlap and come in any order.
     """
     rows = id_and_text(docs).select(
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc"), (F.hash("text").bitwiseAND(0xFFFFFF)).alias("version"), "text")
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc"), F.xxhash64("text").alias("version"), "text")
     sorted_runs = rows.mapInPandas(_run_rows(rule), RUNS).repartition("a").sortWithinPartitions("a", "c", "doc", "at")
     met = materialize(sorted_runs.mapInPandas(_met(rule, most), MET), "met")
     asked = met.where("open").groupBy("doc", "version").agg(F.collect_list(F.struct("a", "part", "parted", "start", "stop")).alias("asked"))

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from affinity.llm import repeats, substring_dedup, suffix_dedup
@@ -116,3 +117,21 @@ def test_matching_statistics():
     asked = draw.choices("abcd", k=200)
     want = [max(n for n in range(i + 2) if tuple(asked[i + 1 - n : i + 1]) in subs or n == 0) for i in range(200)]
     assert known.matched(asked) == want
+
+
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_rows_of_one_id_whose_short_hashes_agree(spark, doc_id):
+    """Texts of one id (or without any) keep their own spans, also where 24 bits of a hash are the same."""
+    draw = random.Random(11)
+    word = lambda: "".join(draw.choices("abcdefghijklmnop", k=6))
+    texts = [" ".join(word() for _ in range(draw.choice([40, 250]))) for _ in range(9000)]
+    held = spark.createDataFrame([(t,) for t in texts], "text string").groupBy(F.hash("text").bitwiseAND(0xFFFFFF).alias("h")).agg(F.collect_list("text").alias("t")).where("size(t) > 1").collect()
+    pair = next(sorted(r.t, key=len) for r in held if len({len(t) // 1000 for t in r.t}) > 1)
+    common = " ".join(word() for _ in range(60))
+    rows = [(doc_id, pair[0]), (doc_id, pair[-1]), (1, common), (doc_id, f"{pair[0]} {common}"), (9, f"{common} {pair[-1]}")]
+    df = frame(spark, rows)
+    got = suffix_dedup.digest(df)
+    assert sorted(map(tuple, got.collect()), key=str) == plain_bytes(rows)
+    got = substring_dedup.digest(df)
+    assert sorted(map(tuple, got.collect()), key=str) == plain_words(rows)
+    assert {r.n_removed for r in suffix_dedup.digest(frame(spark, rows[:2])).collect()} == {0}

@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pandas as pd
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinity.functions.hashing import uniform
+from affinity.operators import scoring
 from affinity.operators.relational import dense_index, top_k
 from affinity.sources.scratch import materialize
 
@@ -43,7 +42,7 @@ def epsilon_greedy(requests: DataFrame, stats: DataFrame, epsilon: float = 0.1,
     return served.withColumn("_best", best).withColumn("arm", F.when(F.col("explored"), F.col("arm")).otherwise(F.col("_best"))).drop("_at", "_best")
 
 
-ARMS_IN_BLOCK = 2000  # arms that go to the tasks together, as small matrices
+ARMS_IN_BLOCK = 1000  # arms, and contexts, that meet in one cell
 
 
 def arm_models(contexts: DataFrame, rewards: DataFrame, dims: int) -> DataFrame:
@@ -74,36 +73,28 @@ def arm_models(contexts: DataFrame, rewards: DataFrame, dims: int) -> DataFrame:
 def linear_arms(contexts: DataFrame, rewards: DataFrame, dims: int, k: int = 10, alpha: float = 0.5, block: int = ARMS_IN_BLOCK) -> DataFrame:
     """(user_id, arm, score, rank): the best k of all logged arms by upper-confidence linear scores.
 
-    Arms go to the tasks in blocks of about ``block``; each task keeps only its
-    contexts' best k of a block, and the best of all blocks are ranked. The rows
-    are the same for any number of blocks.
+    Slices of contexts meet blocks of about ``block`` arms in a grid; each cell
+    gives its contexts' best k, and the best of all blocks are ranked. The rows
+    are the same for any grid, and no arm passes the driver.
     """
     models = materialize(arm_models(contexts, rewards, dims), "arms")
-    blocks = -(-models.count() // block)
-    asked = contexts.select("user_id", "x")
-
-    def score(batches: Iterator[pd.DataFrame], shared: Broadcast) -> Iterator[pd.DataFrame]:
-        arms, theta, inverse = shared.value
-        for batch in batches:
-            if len(batch) == 0:
-                continue
-            ctx = np.stack(batch["x"].to_numpy())
-            # x' A x of all arms as one product of matrices.
-            outer = (ctx[:, :, None] * ctx[:, None, :]).reshape(len(ctx), -1)
-            s = np.round(ctx @ theta.T + alpha * np.sqrt(np.maximum(outer @ inverse.T, 0)), 6)
-            order = np.lexsort((np.broadcast_to(arms, s.shape), -s))[:, :k]
-            yield pd.DataFrame({
-                "user_id": np.repeat(batch["user_id"].to_numpy(), order.shape[1]), "arm": arms[order].ravel(),
-                "score": np.take_along_axis(s, order, axis=1).ravel()})
-
-    found = asked.select(F.col("user_id").cast("bigint").alias("user_id"), F.lit(0).cast("bigint").alias("arm"), F.lit(0.0).alias("score")).limit(0)
-    for b in range(blocks):
-        rows = models.where(F.pmod(F.xxhash64("arm"), F.lit(blocks)) == b).orderBy("arm").toPandas()  # about ``block`` rows
-        if len(rows):
-            held = rows["arm"].to_numpy(), np.stack(rows["theta"].to_numpy()), np.stack(rows["inverse"].to_numpy())
-            shared = asked.sparkSession.sparkContext.broadcast(held)
-            found = found.unionByName(asked.mapInPandas(partial(score, shared=shared), "user_id bigint, arm bigint, score double"))
-    return top_k(found, ["user_id"], [F.desc("score"), "arm"], k)
+    asked = contexts.select(F.col("user_id").cast("bigint").alias("user_id"), "x")
+    slices, blocks = scoring.parts_of(asked, "user_id", block, block), scoring.parts_of(models, "arm", block, block)
+
+    def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        right = right.sort_values("arm")
+        arms = right["arm"].to_numpy()
+        if not len(left) or not len(right):
+            return pd.DataFrame({"user_id": [], "arm": [], "score": []})
+        ctx, theta, inverse = (np.stack(c.to_numpy()) for c in (left["x"], right["theta"], right["inverse"]))
+        # x' A x of all arms as one product of matrices.
+        outer = (ctx[:, :, None] * ctx[:, None, :]).reshape(len(ctx), -1)
+        s = np.round(ctx @ theta.T + alpha * np.sqrt(np.maximum(outer @ inverse.T, 0)), 6)
+        user, arm, score = scoring.best_of_rows(left["user_id"].to_numpy(), arms, s, k)
+        return pd.DataFrame({"user_id": user, "arm": arm, "score": score})
+
+    met = scoring.grid(asked.withColumn("slice", scoring.part("user_id", slices)), models.withColumn("block", scoring.part("arm", blocks)), slices, blocks)
+    return top_k(met.applyInPandas(cell, "user_id bigint, arm bigint, score double"), ["user_id"], [F.desc("score"), "arm"], k)
 
 
 def batch_q(transitions: DataFrame, gamma: float = 0.9, rounds: int = 5) -> DataFrame:

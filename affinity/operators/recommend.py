@@ -9,8 +9,11 @@ from affinity.functions.scalars import clamp, ratio
 from affinity.operators import overlap
 from affinity.operators.relational import dense_index, top_k
 from affinity.operators.scoring import top_k_by_dot
+from affinity.sources.scratch import materialize
 
 LIKED_FROM = 4.0
+#: Ratings of one user that are still paired with each other.
+BUSY_RATER = 1_000
 
 
 # --- content ------------------------------------------------------------------------
@@ -171,18 +174,26 @@ def recommend_by_items(neighbours: DataFrame, ratings: DataFrame, n: int = 5) ->
     return top_k(scored, ["user_id"], [F.desc("score"), "item_id"], n).select("user_id", "item_id", "score", "rank")
 
 
-def full_cosines(ratings: DataFrame, key: str, by: str, min_shared: int = 2) -> DataFrame:
-    """(id, other, sim) with whole-row norms, for pairs with at least ``min_shared`` ratings of the same.
+def nearest_rows(ratings: DataFrame, key: str, by: str, k: int = 10) -> DataFrame:
+    """(id, other, rank): the k rows with the highest cosine over whole rows, of all that share anything; ratings must be positive half stars.
 
-    A single shared rating says little, and leaving such pairs out keeps one
-    thing that everybody rated from pairing all of them.
+    Pairs that share two ratings or more come from the overlap join. A pair
+    that shares only one has the cosine x * y / (|row| * |other|), so among the
+    rows of that one element the others with the largest y / |other| come
+    first: the first k + 1 of each element are enough, because k rows before
+    another one in that order share at least as much. Squares are compared,
+    as quotients of whole numbers, so equal cosines tie and go to the smaller id.
     """
-    dots = overlap.co_rated(ratings, key, by, min_shared=min_shared).select("a", "b", "sxy")
-    doubled = F.col("rating") * 2
-    norms = ratings.groupBy(key).agg(F.sum(doubled * doubled).alias("ss"))
-    na, nb = (norms.select(F.col(key).alias(s), F.col("ss").alias(f"s{s}")) for s in "ab")
-    sims = dots.join(na, "a").join(nb, "b").select("a", "b", (F.col("sxy") / F.sqrt(F.col("sa") * F.col("sb"))).alias("sim"))
-    return overlap.both_ways(sims)
+    rows = ratings.select(F.col(key).alias("id"), F.col(by).alias("elem"), (F.col("rating") * 2).cast("bigint").alias("x"))
+    squares = rows.groupBy(F.col("id").alias("other")).agg(F.sum(F.col("x") * F.col("x")).alias("ss"))
+    closeness = lambda dot: F.desc(F.col(dot).cast("double") * F.col(dot) / F.col("ss"))
+    raters = rows.select("elem", F.col("id").alias("other"), F.col("x").alias("y")).join(squares, "other")
+    leading = top_k(raters, ["elem"], [closeness("y"), "other"], k + 1).drop("rank")
+    single = rows.join(leading, "elem").filter(F.col("id") != F.col("other")).select("id", "other", (F.col("x") * F.col("y")).alias("dot"), "ss")
+    shared = overlap.both_ways(overlap.co_rated(ratings, key, by).select("a", "b", F.col("sxy").alias("sim"))).withColumnRenamed("sim", "dot").join(squares, "other")
+    # A pair of the overlap join may stand among the single ones too, with a part of its sum.
+    pairs = single.unionByName(shared).groupBy("id", "other", "ss").agg(F.max("dot").alias("dot"))
+    return top_k(pairs, ["id"], [closeness("dot"), "other"], k).select("id", "other", "rank")
 
 
 def _unseen_top(scores: DataFrame, ratings: DataFrame, n: int) -> DataFrame:
@@ -190,20 +201,36 @@ def _unseen_top(scores: DataFrame, ratings: DataFrame, n: int) -> DataFrame:
     return top_k(fresh, ["user_id"], [F.desc("score"), "item_id"], n)
 
 
-def mean_of_nearest(similarities: DataFrame, ratings: DataFrame, k: int = 10, n: int = 5) -> DataFrame:
-    """Unseen items by the mean rating of the k nearest users, a missing rating counting as 0."""
-    near = nearest(similarities, k).select(F.col("id").alias("user_id"), "other")
+def mean_of_nearest(ratings: DataFrame, k: int = 10, n: int = 5) -> DataFrame:
+    """Unseen items by the mean rating of the k users with the nearest whole rows, a missing rating counting as 0."""
+    near = nearest_rows(ratings, "user_id", "item_id", k).select(F.col("id").alias("user_id"), "other")
     known = ratings.select(F.col("user_id").alias("other"), "item_id", "rating")
     scores = near.join(known, "other").groupBy("user_id", "item_id").agg(F.round(F.sum("rating") / k, 6).alias("score"))
     return _unseen_top(scores, ratings, n)
 
 
-def similarity_times_row(similarities: DataFrame, ratings: DataFrame, n: int = 5) -> DataFrame:
-    """Unseen items by the similarity matrix times the user's row."""
-    sims = similarities.select(F.col("id").alias("item_id"), F.col("other").alias("rated"), "sim")
-    own = ratings.select("user_id", F.col("item_id").alias("rated"), "rating")
-    scores = sims.join(own, "rated").groupBy("user_id", "item_id").agg(F.round(F.sum(F.col("sim") * F.col("rating")), 6).alias("score"))
-    return _unseen_top(scores, ratings, n)
+def similarity_times_row(ratings: DataFrame, n: int = 5, busy: int = BUSY_RATER) -> DataFrame:
+    """Unseen items by the cosine matrix of all items' whole columns times the user's row.
+
+    The score of an item is a sum over raters v and rated items j of
+    unit(v, item) * unit(v, j) * rating(j), with unit the rating over the
+    column's length. Raters of up to ``busy`` items give it through the matrix
+    (item, j), to which they add the squares of their lists; the few longer
+    lists are not squared but stay a dimension of their own, on both sides. Any
+    limit gives the same scores. The products of all vectors are taken in a grid.
+    """
+    lengths = ratings.groupBy("item_id").agg(F.sqrt(F.sum(F.col("rating") * F.col("rating"))).alias("_length"))
+    units = materialize(ratings.join(lengths, "item_id").select("user_id", "item_id", "rating", (F.col("rating") / F.col("_length")).alias("unit")), "units")
+    many = units.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > busy).select("user_id")
+    quiet, loud = units.join(many, "user_id", "left_anti"), units.join(many, "user_id", "left_semi")
+    rated, rater = (lambda c: F.col(c) * 2), (lambda c: F.col(c) * 2 + 1)
+    other = quiet.select("user_id", F.col("item_id").alias("_j"), F.col("unit").alias("_u"))
+    matrix = quiet.join(other, "user_id").filter("item_id <> _j").groupBy("item_id", rated("_j").alias("idx")).agg(F.sum(F.col("unit") * F.col("_u")).alias("w"))
+    columns = matrix.unionByName(loud.select("item_id", rater("user_id").alias("idx"), F.col("unit").alias("w")))
+    theirs = loud.select("item_id", F.col("user_id").alias("_v"), F.col("unit").alias("_u"))
+    shared = units.select("user_id", "item_id", "rating").join(theirs, "item_id").groupBy("user_id", rater("_v").alias("idx")).agg(F.sum(F.col("rating") * F.col("_u")).alias("x"))
+    wanted = units.select("user_id", rated("item_id").alias("idx"), F.col("rating").alias("x")).unionByName(shared).withColumnRenamed("user_id", "id")
+    return top_k_by_dot(materialize(wanted, "wanted"), materialize(columns, "columns"), n, seen=ratings).withColumnRenamed("id", "user_id")
 
 
 def co_liked(ratings: DataFrame, k: int = 3) -> DataFrame:

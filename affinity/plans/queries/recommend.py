@@ -166,26 +166,25 @@ def item_recs(spark, sf):
 
 def full_sql(key: str, by: str) -> str:
     return f"""{SPLIT}, {co_sql('train', key, by)},
-ss AS (SELECT {key} AS id, sum(rating * 2 * rating * 2) AS s FROM train GROUP BY 1),
-half AS (SELECT a, b, sxy / sqrt(p.s * q.s) AS sim FROM co JOIN ss p ON p.id = a JOIN ss q ON q.id = b WHERE n >= 2),
-sims AS MATERIALIZED (SELECT a AS id, b AS other, sim FROM half UNION ALL SELECT b, a, sim FROM half)"""
+ss AS (SELECT {key} AS id, sum(rating * 2 * rating * 2)::BIGINT AS s FROM train GROUP BY 1),
+sims AS MATERIALIZED (SELECT a AS id, b AS other, sxy FROM co UNION ALL SELECT b, a, sxy FROM co)"""
 
 
 @query("dense_user_cf", f"""WITH {full_sql('user_id', 'item_id')},
-near AS (SELECT id, other, row_number() OVER (PARTITION BY id ORDER BY sim DESC, other) AS rank FROM sims QUALIFY rank <= 10),
+near AS (SELECT m.id, other, row_number() OVER (PARTITION BY m.id ORDER BY sxy::DOUBLE * sxy / s DESC, other) AS rank FROM sims m JOIN ss ON ss.id = other QUALIFY rank <= 10),
 s AS (SELECT n.id AS user_id, item_id, round(sum(rating) / 10, 6) AS score FROM near n JOIN train r ON r.user_id = n.other GROUP BY 1, 2)
 SELECT user_id, item_id, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM s ANTI JOIN train USING (user_id, item_id) QUALIFY rank <= 5""")
 def dense_user_cf(spark, sf):
-    ratings = materialize(views.train(spark, sf), "train")
-    return rc.mean_of_nearest(materialize(rc.full_cosines(ratings, "user_id", "item_id"), "similarities"), ratings)
+    """Whole-row neighbours among all users that share a rating."""
+    return rc.mean_of_nearest(materialize(views.train(spark, sf), "train"))
 
 
 @query("dense_item_cf", f"""WITH {full_sql('item_id', 'user_id')},
-s AS (SELECT user_id, m.id AS item_id, round(sum(sim * rating), 6) AS score FROM sims m JOIN train r ON r.item_id = m.other GROUP BY 1, 2)
+s AS (SELECT user_id, m.id AS item_id, round(sum(sxy / sqrt(p.s * q.s) * rating), 6) AS score FROM sims m JOIN ss p ON p.id = m.id JOIN ss q ON q.id = m.other JOIN train r ON r.item_id = m.other GROUP BY 1, 2)
 SELECT user_id, item_id, score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM s ANTI JOIN train USING (user_id, item_id) QUALIFY rank <= 5""")
 def dense_item_cf(spark, sf):
-    ratings = materialize(views.train(spark, sf), "train")
-    return rc.similarity_times_row(materialize(rc.full_cosines(ratings, "item_id", "user_id"), "similarities"), ratings)
+    """The matrix of all items' cosines times every user's row."""
+    return rc.similarity_times_row(materialize(views.train(spark, sf), "train"))
 
 
 @query("co_liked", f"""WITH {views.INTERACTIONS_SQL}, c AS (SELECT p.item_id, q.item_id AS other, count(*) AS n FROM interactions p JOIN interactions q ON p.user_id = q.user_id AND p.item_id <> q.item_id WHERE p.rating >= 4 GROUP BY 1, 2)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from affinity.functions import arrays, scalars, texts
 from affinity.operators import cluster, evaluate as ev, explain, factor, graph, ordered, policy, relational, search
+from affinity.operators import scoring
 from affinity.operators.scoring import top_k_by_dot
 from affinity.plans import views
 from affinity.sources import files
@@ -126,8 +127,26 @@ def test_top_k_paths_agree(spark):
     catalogue = spark.createDataFrame([(i * 3, j, float(w[i, j])) for i in range(40) for j in range(6)], "item_id bigint, idx int, w double")
     seen = spark.createDataFrame([(u, 3 * ((u + j) % 40)) for u in range(30) for j in range(10)], "user_id bigint, item_id bigint")
     matrix = sorted(map(tuple, top_k_by_dot(profiles, catalogue, 4, seen).select("id", "item_id", "score", "rank").collect()))
-    joined = sorted(map(tuple, top_k_by_dot(profiles, catalogue, 4, seen, max_cells=1).select("id", "item_id", "score", "rank").collect()))
+    joined = sorted(map(tuple, top_k_by_dot(profiles, catalogue, 4, seen, max_cells=25).select("id", "item_id", "score", "rank").collect()))
     assert matrix == joined and len(matrix) == 120
+    want = []
+    for u in range(30):
+        hidden = {3 * ((u + j) % 40) for j in range(10)}
+        ranked = sorted((-round(float(x[u] @ w[i]), 6), i * 3) for i in range(40) if i * 3 not in hidden)[:4]
+        want += [(u, i, pytest.approx(-s), n + 1) for n, (s, i) in enumerate(ranked)]
+    assert sorted(matrix, key=lambda r: (r[0], r[3])) == want
+
+
+def test_grid_cells_are_bounded(spark):
+    """Every row meets every item once, and no cell holds more ids than its share allows."""
+    left = spark.range(500).select("id", scoring.part("id", 5).alias("slice"))
+    right = spark.range(300).select(F.col("id").alias("item_id"), scoring.part("id", 4).alias("block"))
+
+    def cell(a, b):
+        return pd.DataFrame({"pairs": [len(a) * len(b)], "most": [max(len(a), len(b))]})
+
+    out = scoring.grid(left, right, 5, 4).applyInPandas(cell, "pairs bigint, most bigint").collect()
+    assert len(out) == 20 and sum(r.pairs for r in out) == 150_000 and max(r.most for r in out) < 160
 
 
 def test_svd_against_numpy(spark):

@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -187,23 +188,68 @@ def test_same_result_for_any_partitioning(table):
     assert pairs(table.repartition(1)) == pairs(table.repartition(13, "item_id"))
 
 
-def test_whole_row_recommendations_match_brute_force(table, ratings):
-    rows = by(ratings, 0)
-    length = {u: sum(x * x for x in v.values()) ** 0.5 for u, v in rows.items()}
+def nearest_by_definition(rows, k):
+    """Of all that share anything, the k with the highest cosine; squares are compared as fractions."""
     near = {}
     for a, b in itertools.permutations(rows, 2):
         common = rows[a].keys() & rows[b].keys()
-        if len(common) >= 2:
-            near.setdefault(a, []).append((-sum(rows[a][i] * rows[b][i] for i in common) / length[a] / length[b], b))
+        if common:
+            dot = sum(int(2 * rows[a][i]) * int(2 * rows[b][i]) for i in common)
+            near.setdefault(a, []).append((-Fraction(dot * dot, sum(int(2 * x) ** 2 for x in rows[b].values())), b))
+    return {a: [b for _, b in sorted(others)[:k]] for a, others in near.items()}
+
+
+@pytest.mark.parametrize("k", [1, 3, 10])
+def test_nearest_whole_rows(table, ratings, k):
+    want = nearest_by_definition(by(ratings, 0), k)
+    got = {}
+    for r in rc.nearest_rows(table, "user_id", "item_id", k).orderBy("id", "rank").collect():
+        got.setdefault(r["id"], []).append(r["other"])
+    assert got == want
+
+
+def test_nearest_rows_that_share_one_hot_item(spark):
+    """Nobody shares two ratings, all share one: each still has its nearest, without a pair of all."""
+    rows = {u: {0: 1 + u % 5 / 2, 100 + u: 1 + u % 7 / 2} for u in range(300)}
+    df = spark.createDataFrame([(u, i, x) for u, v in rows.items() for i, x in v.items()], "user_id bigint, item_id bigint, rating double")
     got = {}
-    for r in rc.mean_of_nearest(rc.full_cosines(table, "user_id", "item_id").withColumn("sim", F.round("sim", 9)), table, 3, 4).collect():
+    for r in rc.nearest_rows(df, "user_id", "item_id", 4).orderBy("id", "rank").collect():
+        got.setdefault(r["id"], []).append(r["other"])
+    assert got == nearest_by_definition(rows, 4)
+
+
+def test_whole_row_recommendations_match_brute_force(table, ratings):
+    rows = by(ratings, 0)
+    near = nearest_by_definition(rows, 3)
+    got = {}
+    for r in rc.mean_of_nearest(table, 3, 4).collect():
         assert r["item_id"] not in rows[r["user_id"]]
-        got.setdefault(r["user_id"], {})[r["rank"]] = r["score"]
+        got.setdefault(r["user_id"], {})[r["rank"]] = (r["item_id"], r["score"])
     for user, others in near.items():
         sums = {}
-        for _, b in sorted((round(s, 9), b) for s, b in others)[:3]:
+        for b in others:
             for i, x in rows[b].items():
                 if i not in rows[user]:
                     sums[i] = sums.get(i, 0) + x
-        want = sorted((round(x / 3, 6) for x in sums.values()), reverse=True)[:4]
-        assert [got.get(user, {}).get(n) for n in range(1, len(want) + 1)] == pytest.approx(want)
+        want = sorted((-round(x / 3, 6), i) for i, x in sums.items())[:4]
+        assert [got.get(user, {}).get(n) for n in range(1, len(want) + 1)] == [(i, pytest.approx(-x)) for x, i in want]
+
+
+@pytest.mark.parametrize("busy", [0, 5, 10_000])
+def test_item_matrix_times_row(table, ratings, busy):
+    """The same scores whichever raters' lists are squared."""
+    columns, rows = by(ratings, 1), by(ratings, 0)
+    length = {i: sum(x * x for x in c.values()) ** 0.5 for i, c in columns.items()}
+    want = {}
+    for user, row in rows.items():
+        scores = {}
+        for i in columns.keys() - row.keys():
+            score = sum(sum(columns[i][v] * columns[j][v] for v in columns[i].keys() & columns[j].keys()) / length[i] / length[j] * x for j, x in row.items())
+            if score > 0:
+                scores[i] = score
+        want[user] = sorted(((-round(s, 6), i) for i, s in scores.items()))[:4]
+    got = {}
+    for r in rc.similarity_times_row(table, 4, busy).orderBy("user_id", "rank").collect():
+        got.setdefault(r["user_id"], []).append((-r["score"], r["item_id"]))
+    assert {u: [x for x, _ in v] for u, v in got.items()} == {u: pytest.approx([x for x, _ in v], abs=2e-6) for u, v in want.items() if v}
+    assert sum([i for _, i in got[u]] == [i for _, i in want[u]] for u in got) > 0.9 * len(got)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.operators import evaluate as ev, recommend as rc
 from affinity.operators.relational import top_k
 from affinity.plans import views
 from affinity.plans.queries.recommend import BIAS_SQL, SPLIT
-from affinity.plans.registry import query
+from affinity.plans.registry import QUERIES, SQL, query
+from affinity.sources.scratch import materialize
 
 K = 5
 RECS_SQL = f"""{SPLIT}, {BIAS_SQL}, scored AS (SELECT user_id, item_id, rating, round(cf, 6) AS pred FROM bias),
@@ -140,3 +144,25 @@ def model_table(spark, sf):
     scores = rel.join(found, ["model", "user_id"]).groupBy("model").agg(
         F.round(F.avg(F.col("hits") / K), 6).alias("precision"), F.round(F.avg(F.col("hits") / F.col("rel")), 6).alias("recall"))
     return errors.join(scores, "model").select("model", "rmse", "precision", "recall")
+
+
+# The recommenders whose own lists are scored; each list is what its query returns.
+RECOMMENDERS = ["user_recs", "item_recs", "profile_recs", "genre_recs", "dense_user_cf", "dense_item_cf"]
+
+
+@query("recommender_table", f"""WITH {SPLIT},
+truth AS MATERIALIZED (SELECT user_id, item_id FROM test WHERE rating >= 4), rel AS (SELECT user_id, count(*) AS n_rel FROM truth GROUP BY 1),
+lists AS MATERIALIZED ({' UNION ALL '.join(f"SELECT '{name}' AS model, user_id, item_id, rank FROM ({SQL[name]}) WHERE rank <= {K}" for name in RECOMMENDERS)}),
+best AS (SELECT user_id, n_rel, sum(1 / log2(s + 1)) AS ideal FROM rel, range(1, {K + 1}) t(s) WHERE s <= n_rel GROUP BY 1, 2),
+h AS (SELECT model, user_id, count(*) AS hits, sum(1 / log2(rank + 1)) AS dcg FROM lists SEMI JOIN truth USING (user_id, item_id) GROUP BY 1, 2),
+m AS (SELECT model, sum(hits) AS hits, sum(hits / n_rel) AS r, count(*) AS u, sum(dcg / ideal) AS g FROM h JOIN best USING (user_id) GROUP BY 1),
+p AS (SELECT item_id, count(*) AS p FROM train GROUP BY 1),
+c AS (SELECT model, count(DISTINCT item_id) / (SELECT count(*) FROM part) AS coverage, avg(-log2(coalesce(p, 1) / (SELECT count(*) FROM train) + 1e-9)) AS novelty FROM lists LEFT JOIN p USING (item_id) GROUP BY 1)
+SELECT model, n AS n_users, round(coalesce(hits, 0) / n / {K}, 6) AS precision, round(coalesce(r, 0) / n, 6) AS recall, round(coalesce(u, 0) / n, 6) AS hit_rate, round(coalesce(g, 0) / n, 6) AS ndcg,
+  round(coverage, 6) AS coverage, round(novelty, 6) AS novelty FROM c LEFT JOIN m USING (model), (SELECT count(*) AS n FROM rel)""")
+def recommender_table(spark, sf):
+    """Six recommenders by the lists they give, on the held-out ratings."""
+    lists = [QUERIES[name](spark, sf).select(F.lit(name).alias("model"), "user_id", "item_id", "rank") for name in RECOMMENDERS]
+    table = materialize(reduce(DataFrame.unionByName, lists).filter(F.col("rank") <= K), "lists")
+    out = ev.compare(table, materialize(relevant(spark, sf), "truth"), views.train(spark, sf), views.items(spark, sf), K)
+    return out.select("model", "n_users", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "hit_rate", "ndcg", "coverage", "novelty")])

@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.functions import hashing, scalars, texts
-from affinity.operators import overlap, relational, signatures as sg, termweights as tw
+from affinity.operators import overlap, projections, relational, signatures as sg, termweights as tw
 from affinity.plans import views
 from affinity.plans.queries.text import TF_SQL, corpus_weights
 from affinity.plans.registry import query
@@ -32,9 +30,10 @@ def unit_rows(spark, sf):
 u AS MATERIALIZED (SELECT doc_id, word, w, n_copies FROM unit JOIN reps ON doc_id = rep),
 c AS (SELECT x.doc_id AS a, y.doc_id AS b, x.n_copies AS copies_a, y.n_copies AS copies_b, round(sum(x.w * y.w), 6) AS cosine
   FROM u x JOIN u y ON x.word = y.word AND x.doc_id < y.doc_id GROUP BY ALL)
-SELECT a, b, copies_a, copies_b, cosine FROM c WHERE cosine >= {COSINE}""")
+SELECT a, b, copies_a, copies_b, cosine FROM c WHERE cosine >= {COSINE}
+UNION ALL SELECT rep, rep, n_copies, n_copies, 1.0 FROM reps SEMI JOIN unit ON doc_id = rep WHERE n_copies > 1""")
 def cosine_pairs(spark, sf):
-    """Document pairs at or above a cosine; copies are represented by one document and counted."""
+    """Document pairs at or above a cosine; copies are represented by one document and counted, and their own pairs are one row with a = b."""
     weights = materialize(corpus_weights(spark, sf), "weights")
     bags = weights.select(F.col("doc_id").alias("id"), F.struct("word", "tf").alias("elem"))
     groups = overlap.copy_groups(bags)
@@ -42,7 +41,10 @@ def cosine_pairs(spark, sf):
     unit = tw.unit_rows(weights).select(F.col("doc_id").alias("id"), F.col("word").alias("elem"), F.col("w").alias("x"))
     pairs = overlap.cosine_pairs(unit.join(reps.select("id"), "id", "left_semi"), COSINE)
     ca, cb = (reps.select(F.col("id").alias(s), F.col("n_copies").alias(f"copies_{s}")) for s in "ab")
-    return pairs.join(ca, "a").join(cb, "b").select("a", "b", "copies_a", "copies_b", F.round("cosine", 6).alias("cosine")).filter(F.col("cosine") >= COSINE)
+    between = pairs.join(ca, "a").join(cb, "b").select("a", "b", "copies_a", "copies_b", F.round("cosine", 6).alias("cosine")).filter(F.col("cosine") >= COSINE)
+    n = F.col("n_copies")
+    inside = reps.filter(n > 1).join(unit.select("id"), "id", "left_semi").select(F.col("id").alias("a"), F.col("id").alias("b"), n.alias("copies_a"), n.alias("copies_b"), F.lit(1.0).alias("cosine"))
+    return between.unionByName(inside)
 
 
 @query("cosine_top_n", f"""WITH {UNIT_SQL}, q AS (SELECT word, w AS wq FROM unit WHERE doc_id = 1)
@@ -89,27 +91,35 @@ def l2_norm(spark, sf):
     return unit_rows(spark, sf).groupBy("doc_id").agg(F.round(F.sum(w * w), 6).alias("length"), F.round(F.max(w), 6).alias("top"))
 
 
-def projected(spark, sf, bucket_length: float):
-    p = views.points(spark, sf).select("id", array_to_vector("v").alias("unit"))
-    lsh = BucketedRandomProjectionLSH(inputCol="unit", outputCol="hashes", bucketLength=bucket_length, numHashTables=3, seed=42)
-    return p, lsh.fit(p)
+REACH, TABLES, PER_KEY = 1.2, 3, 2
 
 
-@query("brp_neighbours")
+def _cell_sql(place: int) -> str:
+    sign = f"CASE WHEN CAST('0x' || substr(md5('42:' || t || ':{place}:' || (i - 1)), 1, 8) AS BIGINT) % 2 = 0 THEN 1 ELSE -1 END"
+    return f"CAST(floor(list_sum(list_transform(v, lambda x, i: x * {sign})) / {REACH}) AS BIGINT)"
+
+
+MET_SQL = f"""{views.POINTS_SQL}, cells AS MATERIALIZED (SELECT id, v, t, {', '.join(f'{_cell_sql(p)} AS c{p}' for p in range(PER_KEY))} FROM points, range({TABLES}) r(t)),
+met AS MATERIALIZED (SELECT DISTINCT q.id AS a, p.id AS b, list_distance(q.v, p.v) AS distance FROM cells q JOIN cells p ON q.t = p.t AND q.id <> p.id AND {' AND '.join(f'abs(q.c{p} - p.c{p}) <= 1' for p in range(PER_KEY))}
+  WHERE q.id % 20 = 0)"""
+
+
+def asked_points(spark, sf):
+    """(all points, the query points): those whose id is divisible by 20."""
+    points = materialize(views.points(spark, sf).select("id", "v"), "points")
+    return points, points.filter(F.pmod("id", F.lit(20)) == 0)
+
+
+@query("brp_neighbours", f"WITH {MET_SQL} SELECT a, b, round(distance, 6) AS distance, row_number() OVER (PARTITION BY a ORDER BY round(distance, 6), b) AS rank FROM met QUALIFY rank <= 5")
 def brp_neighbours(spark, sf):
-    """Approximate neighbours of point 0 (itself removed)."""
-    p, model = projected(spark, sf, 1.5)
-    key = p.filter("id = 0").select("unit").first()["unit"]  # one vector
-    near = model.approxNearestNeighbors(p, key, 6)
-    return near.filter("id != 0").select("id", F.round("distCol", 6).alias("distance")).orderBy("distance", "id")
+    """The five nearest points of each query point, among those it meets in a bucket."""
+    return projections.nearest(*asked_points(spark, sf), 5, REACH, TABLES, PER_KEY).withColumn("distance", F.round("distance", 6))
 
 
-@query("brp_join")
+@query("brp_join", f"WITH {MET_SQL} SELECT a, b, round(distance, 6) AS distance FROM met WHERE distance <= {REACH}")
 def brp_join(spark, sf):
-    """Approximate pairs within a distance; buckets are far narrower than it, so many pairs are missed (see the README)."""
-    p, model = projected(spark, sf, 0.1)
-    pairs = model.approxSimilarityJoin(p, p, 1.2, distCol="distance")
-    return pairs.select(F.col("datasetA.id").alias("a"), F.col("datasetB.id").alias("b"), F.round("distance", 6).alias("distance")).filter("a < b")
+    """Points within a distance of each query point, found through buckets and checked exactly."""
+    return projections.within(*asked_points(spark, sf), REACH, TABLES, PER_KEY).withColumn("distance", F.round("distance", 6))
 
 
 # --- shingle sets ----------------------------------------------------------------------
@@ -121,6 +131,9 @@ grams AS MATERIALIZED (SELECT DISTINCT id, elem FROM (SELECT doc_id AS id, word
 sets AS (SELECT id, count(*) AS n, md5(string_agg(elem, chr(1) ORDER BY elem)) AS digest FROM grams GROUP BY 1),
 reps AS MATERIALIZED (SELECT min(id) AS id, count(*) AS n_copies, any_value(n) AS n FROM sets GROUP BY digest),
 members AS MATERIALIZED (SELECT id, elem, n, n_copies FROM grams JOIN reps USING (id))"""
+# The same names over all sets, each standing for itself alone.
+RAW_SQL = WORD_SQL[: WORD_SQL.index("sets AS")] + """reps AS MATERIALIZED (SELECT id, 1 AS n_copies, count(*) AS n FROM grams GROUP BY 1),
+members AS MATERIALIZED (SELECT id, elem, n, n_copies FROM grams JOIN reps USING (id))"""
 
 
 def exact_sql(level: float) -> str:
@@ -151,6 +164,15 @@ def weigh(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return pairs.join(ca, "a").join(cb, "b").withColumn("weight", F.col("_a") * F.col("_b")).drop("_a", "_b")
 
 
+def inside(reps: DataFrame) -> DataFrame:
+    """(a, b, weight): the pairs inside each group of copies, as one row with a = b."""
+    n = F.col("n_copies")
+    return reps.filter(n > 1).select(F.col("id").alias("a"), F.col("id").alias("b"), (n * (n - 1) / 2).cast("bigint").alias("weight"))
+
+
+INSIDE_SQL = "SELECT id AS a, id AS b, n_copies * (n_copies - 1) // 2 AS weight FROM reps WHERE n_copies > 1"
+
+
 @query("char_kgrams", f"WITH {CHAR_SQL} SELECT id AS doc_id, count(*) AS n_grams FROM chars GROUP BY 1")
 def char_kgrams(spark, sf):
     return char_grams(spark, sf).groupBy(F.col("id").alias("doc_id")).agg(F.count(F.lit(1)).alias("n_grams"))
@@ -250,15 +272,17 @@ EST_SQL = f"""{WORD_SQL}, {minhash_sql('members', SLOTS)},
 est AS MATERIALIZED (SELECT p.id AS a, q.id AS b, count(*) AS shared FROM sig p JOIN sig q ON p.slot = q.slot AND p.value = q.value AND p.id < q.id GROUP BY ALL)"""
 
 
-@query("minhash_pairs", f"WITH {EST_SQL} SELECT a, b, shared, shared / {SLOTS} AS share FROM est WHERE shared / {SLOTS} >= 0.5")
+@query("minhash_pairs", f"""WITH {EST_SQL} SELECT a, b, shared, shared / {SLOTS} AS share, p.n_copies * q.n_copies AS weight FROM est JOIN reps p ON p.id = a JOIN reps q ON q.id = b WHERE shared / {SLOTS} >= 0.5
+UNION ALL SELECT a, b, {SLOTS}, 1.0, weight FROM ({INSIDE_SQL})""")
 def minhash_pairs(spark, sf):
-    members, _ = word_sets(spark, sf)
-    pairs = estimated(members, SLOTS, 0.5)
-    return pairs.select("a", "b", F.col("shared").cast("bigint").alias("shared"), "share")
+    """Estimated pairs of different sets, each with the number of pairs it stands for; a = b stands for those of equal sets."""
+    members, reps = word_sets(spark, sf)
+    between = weigh(estimated(members, SLOTS, 0.5), reps).select("a", "b", F.col("shared").cast("bigint").alias("shared"), "share", "weight")
+    return between.unionByName(inside(reps).select("a", "b", F.lit(SLOTS).cast("bigint").alias("shared"), F.lit(1.0).alias("share"), "weight"))
 
 
 def estimated(members, n, threshold):
-    """Estimated pairs; equal signatures join once, and their members are spelled out at the end."""
+    """Estimated pairs of sets that differ; their signatures may be equal."""
     return sg.estimated_pairs(doc_signatures(members, n), threshold)
 
 
@@ -289,9 +313,12 @@ def lsh_pairs(spark, sf):
     return members, reps, sig, sg.candidates(sig, ROWS, BANDS)
 
 
-@query("lsh_candidates", f"WITH {WORD_SQL}, {minhash_sql('members', SLOTS)}, {BANDS_SQL} SELECT a, b FROM cand")
+@query("lsh_candidates", f"""WITH {WORD_SQL}, {minhash_sql('members', SLOTS)}, {BANDS_SQL} SELECT a, b, p.n_copies * q.n_copies AS weight FROM cand JOIN reps p ON p.id = a JOIN reps q ON q.id = b
+UNION ALL {INSIDE_SQL}""")
 def lsh_candidates(spark, sf):
-    return lsh_pairs(spark, sf)[3]
+    """Candidate pairs of different sets, each with the number of pairs it stands for; a = b stands for those of equal sets."""
+    _, reps, _, pairs = lsh_pairs(spark, sf)
+    return weigh(pairs, reps).unionByName(inside(reps))
 
 
 PROB_SQL = "1 - pow(1 - pow(s, r), b)"
@@ -311,13 +338,14 @@ def lsh_probability(spark, sf):
 CONFIGS = [(5, 10), (5, 20), (5, 40), (10, 20)]
 
 
-@query("s_curve", f"""WITH {WORD_SQL}, {exact_sql(0.3)}, obs AS (SELECT round(jaccard, 2) AS s, count(*) AS n_pairs FROM exact GROUP BY 1),
+@query("s_curve", f"""WITH {RAW_SQL}, {exact_sql(0.3)}, obs AS (SELECT round(jaccard, 2) AS s, count(*) AS n_pairs FROM exact GROUP BY 1),
 cfg AS (SELECT * FROM (VALUES {', '.join(f'({r}, {b})' for r, b in CONFIGS)}) AS c(r, b))
 SELECT s, n_pairs, r AS n_rows, b AS n_bands, round({PROB_SQL}, 6) AS probability, round(pow(1.0::DOUBLE / b, 1.0::DOUBLE / r), 6) AS threshold FROM obs, cfg""")
 def s_curve(spark, sf):
     """The curve at each observed similarity, for four (rows, bands) settings."""
-    members, _ = word_sets(spark, sf)
-    observed = overlap.jaccard_pairs(members, 0.3).groupBy(F.round("jaccard", 2).alias("s")).agg(F.count(F.lit(1)).alias("n_pairs"))
+    members, reps = word_sets(spark, sf)
+    between = weigh(overlap.jaccard_pairs(members, 0.3), reps).select(F.round("jaccard", 2).alias("s"), "weight")
+    observed = between.unionByName(inside(reps).select(F.lit(1.0).alias("s"), "weight")).groupBy("s").agg(F.sum("weight").alias("n_pairs"))
     configs = F.explode(F.array(*[F.struct(F.lit(r).alias("n_rows"), F.lit(b).alias("n_bands")) for r, b in CONFIGS]))
     each = observed.withColumn("c", configs).select("s", "n_pairs", "c.n_rows", "c.n_bands")
     p = scalars.lsh_probability(F.col("s"), F.col("n_rows"), F.col("n_bands"))
@@ -325,29 +353,34 @@ def s_curve(spark, sf):
                        F.round(scalars.lsh_threshold(F.col("n_rows"), F.col("n_bands")), 6).alias("threshold"))
 
 
-@query("minhash_errors", f"""WITH {EST_SQL}, {exact_sql(0.5)},
+def confused(est: DataFrame, truth: DataFrame, reps: DataFrame) -> DataFrame:
+    """Error counts over all sets: weighted pairs of representatives, and the pairs of equal sets, which any estimate hits."""
+    between = relational.confusion(weigh(est, reps), weigh(truth, reps), ["a", "b"], F.col("weight"))
+    equal = inside(reps).agg(F.coalesce(F.sum("weight"), F.lit(0)).alias("_n"))
+    return between.join(F.broadcast(equal)).select("false_pos", "false_neg", (F.col("hits") + F.col("_n")).alias("hits"))  # one row each
+
+
+@query("minhash_errors", f"""WITH {EST_SQL.replace(WORD_SQL, RAW_SQL)}, {exact_sql(0.5)},
 e AS (SELECT a, b, p.n_copies * q.n_copies AS weight FROM est JOIN reps p ON p.id = a JOIN reps q ON q.id = b WHERE shared / {SLOTS} >= 0.5)
 SELECT (SELECT coalesce(sum(weight), 0)::BIGINT FROM e ANTI JOIN exact USING (a, b)) AS false_pos,
   (SELECT coalesce(sum(weight), 0)::BIGINT FROM exact ANTI JOIN e USING (a, b)) AS false_neg,
   (SELECT coalesce(sum(weight), 0)::BIGINT FROM exact SEMI JOIN e USING (a, b)) AS hits""")
 def minhash_errors(spark, sf):
     members, reps = word_sets(spark, sf)
-    truth = weigh(overlap.jaccard_pairs(members, 0.5), reps)
-    est = weigh(estimated(members, SLOTS, 0.5), reps)
-    return relational.confusion(est, truth, ["a", "b"], F.col("weight"))
+    return confused(estimated(members, SLOTS, 0.5), overlap.jaccard_pairs(members, 0.5), reps)
 
 
-@query("lsh_errors", f"""WITH {WORD_SQL}, {minhash_sql('members', SLOTS)}, {BANDS_SQL}, {exact_sql(0.6)},
+@query("lsh_errors", f"""WITH {RAW_SQL}, {minhash_sql('members', SLOTS)}, {BANDS_SQL}, {exact_sql(0.6)},
 e AS (SELECT a, b, p.n_copies * q.n_copies AS weight FROM cand JOIN reps p ON p.id = a JOIN reps q ON q.id = b)
 SELECT (SELECT coalesce(sum(weight), 0)::BIGINT FROM e ANTI JOIN exact USING (a, b)) AS false_pos,
   (SELECT coalesce(sum(weight), 0)::BIGINT FROM exact ANTI JOIN e USING (a, b)) AS false_neg,
   (SELECT coalesce(sum(weight), 0)::BIGINT FROM exact SEMI JOIN e USING (a, b)) AS hits""")
 def lsh_errors(spark, sf):
     members, reps, _, pairs = lsh_pairs(spark, sf)
-    truth = weigh(overlap.jaccard_pairs(members, 0.6), reps)
-    return relational.confusion(weigh(pairs, reps), truth, ["a", "b"], F.col("weight"))
+    return confused(pairs, overlap.jaccard_pairs(members, 0.6), reps)
 
 
+# Trials, and the signature lengths compared.
 TRIALS, LENGTHS = 5, [50, 100, 200]
 
 

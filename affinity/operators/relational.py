@@ -44,9 +44,9 @@ def range_degrees(df: DataFrame, key: str, at: str, reach: int) -> DataFrame:
     return positioned.join(out, "_at", "left").join(into, "_at", "left").drop("_at")
 
 
-def fill_missing_median(df: DataFrame, column: str, bucket: Column) -> DataFrame:
-    """Nulls become the exact median, ranked in ``bucket`` ranges of the column."""
-    median = quantiles(df, [], column, {"m": 0.5}, bucket).select("m").scalar()
+def fill_missing_median(df: DataFrame, column: str) -> DataFrame:
+    """Nulls become the exact median of the column."""
+    median = quantiles(df, [], column, {"m": 0.5}).select("m").scalar()
     return df.withColumn(column, F.coalesce(F.col(column), median))
 
 

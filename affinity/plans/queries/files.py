@@ -77,23 +77,34 @@ def edge_file(spark, sf):
     return files.read_edges(spark, path)
 
 
-@query("page_files", """SELECT 'conv_id=' || conv_id AS page, count(*) AS n_turns, sum(length(text) - length(replace(text, chr(10), '')) + 1)::BIGINT AS n_lines
-FROM conversations GROUP BY 1""")
-def page_files(spark, sf):
-    """Conversations as one folder of text files each, read whole and named by their path."""
+def conversation_pages(spark, sf):
+    """(page, text) through packs of records: one page for each turn of a conversation."""
     path = scratch_path(spark, "pages")
     c = views.table(spark, sf, "conversations")
-    c.repartition("conv_id").select("conv_id", F.concat(F.lit("\x1e"), "text").alias("value")).write.partitionBy("conv_id").text(path)
-    whole = spark.read.text(f"{path}/*/*.txt", wholetext=True)
-    page = F.regexp_extract("_metadata.file_path", r"(conv_id=[^/]+)/", 1)
-    turns = F.size(F.split("value", "\x1e")) - 1
-    lines = F.length("value") - F.length(F.replace("value", F.lit("\n"), F.lit("")))
-    return whole.groupBy(page.alias("page")).agg(F.sum(turns).alias("n_turns"), F.sum(lines).alias("n_lines"))
+    files.write_pages(c.select(F.concat_ws("-", "conv_id", "turn", "role").alias("page"), F.coalesce("text", F.lit("")).alias("text")), path)
+    return files.packed_pages(spark, path)
+
+
+@query("page_files", """SELECT 'conv-' || conv_id AS page, count(*) AS n_turns, sum(length(coalesce(text, '')))::BIGINT AS n_chars, sum(length(coalesce(text, '')) - length(replace(coalesce(text, ''), chr(10), '')) + 1)::BIGINT AS n_lines
+FROM conversations GROUP BY 1""")
+def page_files(spark, sf):
+    """Turns of conversations, written as packs, read back as pages and counted for each conversation."""
+    page = F.concat(F.lit("conv-"), F.split("page", "-")[0])
+    lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    return conversation_pages(spark, sf).groupBy(page.alias("page")).agg(F.count(F.lit(1)).alias("n_turns"), F.sum(F.length("text")).alias("n_chars"), F.sum(lines).alias("n_lines"))
 
 
-@query("first_line", "SELECT doc_id, string_split(text, chr(10))[1] AS line FROM documents")
+@query("first_line", """SELECT conv_id || '-' || turn || '-' || role AS page, string_split_regex(coalesce(text, ''), '\r?\n')[1] AS line FROM conversations""")
 def first_line(spark, sf):
-    return views.corpus(spark, sf).select("doc_id", F.split("text", "\n", 2)[0].alias("line"))
+    return files.first_lines(conversation_pages(spark, sf))
+
+
+@query("action_file", f"""WITH {views.PAGE_LOG_SQL} SELECT row_number() OVER (ORDER BY seq) AS seq, cmd, word, page FROM pagelog WHERE cmd = 'add' OR word <> ''""")
+def action_file(spark, sf):
+    """The action log written to files and read back, numbered from one."""
+    path = scratch_path(spark, "actions")
+    files.write_actions(views.page_log(spark, sf).filter("cmd = 'add' OR word <> ''"), path)
+    return files.read_actions(spark, path).select("seq", "cmd", "word", "page")
 
 
 @query("rows_frame", "SELECT c_custkey, n_name, r_name FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")

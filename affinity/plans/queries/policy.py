@@ -115,8 +115,8 @@ def q_sql(rounds: int) -> str:
 @query("batch_q", f"WITH {q_sql(5)} SELECT state, action, round(q, 6) AS q FROM q5")
 def batch_q(spark, sf):
     """States are event types, actions arms; a user's next event gives the next state."""
-    logged = views.logged(spark, sf)
-    steps = ordered.successors(logged, ["user_id"], ["us", "event_id"], F.floor(F.col("us") / (24 * views.HOUR_US)), ["event_type"])
+    logged = ordered.ranged(views.logged(spark, sf), ["user_id"], ["us", "event_id"])
+    steps = ordered.successors(logged, ["user_id"], ["us", "event_id"], F.col(ordered.RANGE), ["event_type"])
     moves = steps.select(F.col("event_type").alias("state"), F.col("arm").alias("action"), "reward", F.col("next_event_type").alias("next_state"))
     return policy.batch_q(moves).select("state", "action", F.round("q", 6).alias("q"))
 
@@ -129,5 +129,6 @@ def reward_curve(spark, sf):
 
     label = F.when(uniform(42, "explore", F.col("event_id")) < 0.1, "explore").otherwise("greedy")
     logged = views.logged(spark, sf).withColumn("policy", label)
-    curve = ordered.running_sum(logged, ["policy"], ["us", "event_id"], F.floor(F.col("us") / views.HOUR_US), "reward")
+    logged = ordered.ranged(logged, ["policy"], ["us", "event_id"])
+    curve = ordered.running_sum(logged, ["policy"], ["us", "event_id"], F.col(ordered.RANGE), "reward")
     return ordered.every_nth(curve, 100).select("policy", "step", "running")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinity.functions import arrays, texts
 from affinity.operators import explain, overlap, recommend as rc
-from affinity.operators.relational import top_k
+from affinity.operators.relational import dense_index, top_k
 from affinity.plans import views
 from affinity.plans.registry import query
 from affinity.sources.scratch import materialize
@@ -254,28 +255,54 @@ def cold_scores(features, ratings, names):
 @query("side_features", f"""WITH {SPLIT}, {TAGS}, im AS (SELECT item_id, avg(rating) AS m FROM train GROUP BY 1),
 years AS (SELECT item_id, TRY_CAST(regexp_extract(title, '\\((\\d{{4}})\\)', 1) AS DOUBLE) AS year FROM items),
 pref AS (SELECT user_id, tag, sum(rating) AS s FROM train JOIN tags USING (item_id) GROUP BY 1, 2), tot AS (SELECT user_id, sum(rating) AS t FROM train GROUP BY 1),
-affin AS (SELECT t.user_id, t.item_id, sum(coalesce(p.s, 0) / tot.t) AS affinity, count(*) AS n_tags FROM train t JOIN tags g ON g.item_id = t.item_id JOIN tot ON tot.user_id = t.user_id LEFT JOIN pref p ON p.user_id = t.user_id AND p.tag = g.tag GROUP BY 1, 2)
-SELECT t.user_id, t.item_id, t.rating, y.year, round(im.m, 6) AS avg_rating, round(a.affinity, 6) AS affinity, a.n_tags FROM train t JOIN im USING (item_id) JOIN years y USING (item_id) JOIN affin a ON a.user_id = t.user_id AND a.item_id = t.item_id""")
+affin AS (SELECT t.user_id, t.item_id, sum(coalesce(p.s, 0) / tot.t) AS affinity, count(*) AS n_tags FROM train t JOIN tags g ON g.item_id = t.item_id JOIN tot ON tot.user_id = t.user_id LEFT JOIN pref p ON p.user_id = t.user_id AND p.tag = g.tag GROUP BY 1, 2),
+place AS (SELECT tag, row_number() OVER (ORDER BY tag) - 1 AS pos FROM (SELECT DISTINCT tag FROM tags)),
+uv AS (SELECT user_id, string_agg(pos || ':' || CAST(round(s / t * 1000000) AS BIGINT), ',' ORDER BY pos) AS user_tags FROM pref JOIN tot USING (user_id) JOIN place USING (tag) GROUP BY 1),
+iv AS (SELECT item_id, string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) AS item_tags FROM tags JOIN place USING (tag) GROUP BY 1)
+SELECT t.user_id, t.item_id, t.rating, y.year, round(im.m, 6) AS avg_rating, round(a.affinity, 6) AS affinity, a.n_tags, uv.user_tags, iv.item_tags
+FROM train t JOIN im USING (item_id) JOIN years y USING (item_id) JOIN affin a ON a.user_id = t.user_id AND a.item_id = t.item_id JOIN uv ON uv.user_id = t.user_id JOIN iv ON iv.item_id = t.item_id""")
 def side_features(spark, sf):
-    return features(spark, sf).select("user_id", "item_id", "rating", "year", F.round("avg_rating", 6).alias("avg_rating"), F.round("affinity", 6).alias("affinity"), "n_tags")
+    """Both tag vectors are written by their places other than 0, the user's in millionths."""
+    def written(c: str, form):
+        numbered = F.transform(c, lambda x, i: F.struct(i.alias("i"), x.alias("x")))
+        return F.array_join(F.transform(F.filter(numbered, lambda s: s["x"] != 0), form), ",").alias(c)
+
+    user = written("user_tags", lambda s: F.concat_ws(":", s["i"].cast("string"), F.round(s["x"] * 1000000).cast("bigint").cast("string")))
+    return features(spark, sf).select(
+        "user_id", "item_id", "rating", "year", F.round("avg_rating", 6).alias("avg_rating"), F.round("affinity", 6).alias("affinity"), "n_tags", user, written("item_tags", lambda s: s["i"].cast("string")))
+
+
+def tag_vector(rows: DataFrame, key: str, places: DataFrame, size: int, out: str) -> DataFrame:
+    """(key, out): the values of (key, tag, x) rows as one array over the learned vocabulary."""
+    entries = F.map_from_entries(F.collect_list(F.struct("_at", "x")))
+    held = rows.join(places, "tag").groupBy(key).agg(entries.alias("_held"))
+    slots = F.sequence(F.lit(0).cast("bigint"), F.lit(size - 1).cast("bigint"))
+    return held.select(key, F.transform(slots, lambda i: F.coalesce(F.element_at("_held", i), F.lit(0.0))).alias(out))
 
 
 def features(spark, sf, pairs=None):
-    """Item year and mean rating, and the user's weighted preference for the item's tags, all of train, for ``pairs`` (train's own by default).
+    """Item year and mean rating, the tag vectors of both sides and their product, all of train, for ``pairs`` (train's own by default).
 
-    An item that train lacks has the global mean, a user that it lacks no preference.
+    A user's vector is the weighted preference for each tag, an item's one for
+    each tag it has. An item that train lacks has the global mean, a user that
+    it lacks no preference.
     """
-    ratings, tags = views.train(spark, sf), views.item_tags(spark, sf)
+    ratings, tags = views.train(spark, sf), materialize(views.item_tags(spark, sf), "tags")
     pairs = ratings if pairs is None else pairs
     means = ratings.groupBy("item_id").agg(F.avg("rating").alias("avg_rating"))
     overall = ratings.agg(F.avg("rating").alias("g")).scalar()
     years = views.items(spark, sf).select("item_id", texts.year(F.col("title"), texts.TITLE_YEAR).cast("double").alias("year"))
     totals = ratings.groupBy("user_id").agg(F.sum("rating").alias("t"))
-    pref = ratings.join(tags, "item_id").groupBy("user_id", "tag").agg(F.sum("rating").alias("s")).join(totals, "user_id").select("user_id", "tag", (F.col("s") / F.col("t")).alias("p"))
-    liking = pairs.select("user_id", "item_id").join(tags, "item_id").join(pref, ["user_id", "tag"], "left").groupBy("user_id", "item_id").agg(
-        F.sum(F.coalesce("p", F.lit(0.0))).alias("affinity"), F.count(F.lit(1)).alias("n_tags"))
+    places = dense_index(tags, "tag", "_at")
+    size = places.count()
+    pref = ratings.join(tags, "item_id").groupBy("user_id", "tag").agg(F.sum("rating").alias("s")).join(totals, "user_id").select("user_id", "tag", (F.col("s") / F.col("t")).alias("x"))
+    users = tag_vector(pref, "user_id", places, size, "user_tags")
+    items = tag_vector(tags.select("item_id", "tag", F.lit(1.0).alias("x")), "item_id", places, size, "item_tags")
     known = pairs.join(means, "item_id", "left").withColumn("_g", overall).withColumn("avg_rating", F.coalesce("avg_rating", "_g")).drop("_g")
-    return known.join(years, "item_id").join(liking, ["user_id", "item_id"])
+    nothing = F.transform(F.col("item_tags"), lambda x: F.lit(0.0))
+    both = known.join(years, "item_id").join(items, "item_id").join(users, "user_id", "left").withColumn("user_tags", F.coalesce("user_tags", nothing))
+    product = arrays.total(F.zip_with("user_tags", "item_tags", lambda x, y: x * y))
+    return both.withColumn("affinity", product).withColumn("n_tags", arrays.total("item_tags").cast("bigint"))
 
 
 # --- explanations -----------------------------------------------------------------------

@@ -55,7 +55,7 @@ SELECT item_id, round(coalesce(m, 2.5), 6) AS filled_mean, coalesce(m, 0) > 0 AS
 def null_fill(spark, sf):
     means = views.interactions(spark, sf).filter("rating >= 4").groupBy("item_id").agg(F.avg("rating").alias("m"))
     p = views.table(spark, sf, "part").select(F.col("p_partkey").alias("item_id"), F.when(F.col("p_size") > 10, F.col("p_size").cast("double")).alias("size"))
-    joined = relational.fill_missing_median(p.join(means, "item_id", "left"), "size", F.floor("size"))
+    joined = relational.fill_missing_median(p.join(means, "item_id", "left"), "size")
     return joined.select("item_id", F.round(F.coalesce("m", F.lit(2.5)), 6).alias("filled_mean"), (F.coalesce("m", F.lit(0.0)) > 0).alias("has_mean"), "size")
 
 
@@ -223,13 +223,13 @@ def argmax_row(spark, sf):
 @query("col_summary", """SELECT c_nationkey AS nation, count(*) AS n, count(*) FILTER (WHERE isnan(c_acctbal)) AS n_nan, round(avg(c_acctbal), 6) AS mean, round(stddev_samp(c_acctbal), 6) AS sd,
   min(c_acctbal) AS lo, round(quantile_cont(c_acctbal, 0.25), 6) AS q1, round(quantile_cont(c_acctbal, 0.5), 6) AS q2, round(quantile_cont(c_acctbal, 0.75), 6) AS q3, max(c_acctbal) AS hi FROM customer GROUP BY 1""")
 def col_summary(spark, sf):
-    """Counts, moments and exact quartiles per nation; balances are ranked in buckets of 100."""
+    """Counts, moments and exact quartiles per nation."""
     x = F.col("c_acctbal")
     c = views.table(spark, sf, "customer").select(F.col("c_nationkey").alias("nation"), "c_acctbal")
     stats = c.groupBy("nation").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.isnan(x)).alias("n_nan"), F.round(F.avg(x), 6).alias("mean"), F.round(F.stddev_samp(x), 6).alias("sd"),
         F.min(x).alias("lo"), F.max(x).alias("hi"))
-    quartiles = ordered.quantiles(c, ["nation"], "c_acctbal", {"q1": 0.25, "q2": 0.5, "q3": 0.75}, F.floor(x / 100))
+    quartiles = ordered.quantiles(c, ["nation"], "c_acctbal", {"q1": 0.25, "q2": 0.5, "q3": 0.75})
     return stats.join(quartiles, "nation").select("nation", "n", "n_nan", "mean", "sd", "lo", *[F.round(q, 6).alias(q) for q in ("q1", "q2", "q3")], "hi")
 
 
@@ -259,9 +259,9 @@ CURVE_SQL = f"""{L}, curve AS MATERIALIZED (SELECT event_type, event_id, reward,
 
 
 def reward_steps(spark, sf):
-    """Cumulative reward per event type in time order; hours are the buckets."""
-    hour = F.floor(F.col("us") / views.HOUR_US)
-    return ordered.running_sum(views.logged(spark, sf), ["event_type"], ["us", "event_id"], hour, "reward")
+    """Cumulative reward per event type in time order."""
+    keys, order = ["event_type"], ["us", "event_id"]
+    return ordered.running_sum(ordered.ranged(views.logged(spark, sf), keys, order), keys, order, F.col(ordered.RANGE), "reward")
 
 
 @query("running_sum", f"WITH {CURVE_SQL} SELECT event_type, event_id, step, running FROM curve")

@@ -56,9 +56,29 @@ def whole_files(spark: SparkSession, paths) -> DataFrame:
     return pages.select(F.regexp_extract("_metadata.file_path", r"([^/]+$)", 1).alias("page"), F.col("value").alias("text"))
 
 
-def first_lines(spark: SparkSession, paths) -> DataFrame:
-    """(page, line): the first line of each small document."""
-    return whole_files(spark, paths).select("page", F.split("text", r"\r?\n", 2)[0].alias("line"))
+# Fixed value: the separator of records in a pack.
+RECORD = "\x1e"
+
+
+def write_pages(pages: DataFrame, path: str) -> None:
+    """(page, text) rows as packs: few large files of many pages, each a record of its name, a line end and its text.
+
+    A file for each page would cost a task and an entry of the file system
+    each. Names hold no line end, names and texts no record separator.
+    """
+    pages.select(F.concat("page", F.lit("\n"), "text").alias("value")).write.option("lineSep", RECORD).text(path)
+
+
+def packed_pages(spark: SparkSession, paths) -> DataFrame:
+    """(page, text): the pages of packs; a large pack is read in many tasks, cut at its records."""
+    at = F.position(F.lit("\n"), F.col("value"))
+    records = spark.read.option("lineSep", RECORD).text(paths)
+    return records.select(F.substring("value", F.lit(1), at - 1).alias("page"), F.substring("value", at + 1, F.length("value")).alias("text"))
+
+
+def first_lines(pages: DataFrame) -> DataFrame:
+    """(page, line): the first line of each page, of :func:`whole_files` or :func:`packed_pages`."""
+    return pages.select("page", F.split("text", r"\r?\n", 2)[0].alias("line"))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -89,9 +109,20 @@ FIND_PAGES = "queryFindPagesWhichContainWord"
 FIND_POSITIONS = "queryFindPositionsOfWordInAPage"
 
 
+def write_actions(log: DataFrame, path: str) -> None:
+    """(seq, cmd, word, page) rows as an action log: files whose names and lines follow the order."""
+    name = F.when(F.col("cmd") == "add", ADD_PAGE).when(F.col("cmd") == "find", FIND_PAGES).when(F.col("cmd") == "where", FIND_POSITIONS)
+    lines = log.repartitionByRange("seq").sortWithinPartitions("seq")
+    lines.select(F.concat_ws(" ", name, "word", "page").alias("value")).write.text(path)
+
+
 def read_actions(spark: SparkSession, path: str) -> DataFrame:
-    """(seq, cmd, word, page) from an ordered action log of one file."""
-    lines = number_lines(text_lines(spark, path)).filter(F.trim("value") != "")
+    """(seq, cmd, word, page) from an ordered action log: a file, or a folder whose files follow each other by name."""
+    lines = number_lines(text_lines(spark, path))
+    files = lines.groupBy("file_path").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("file_path").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    starts = files.select("file_path", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    lines = lines.join(starts, "file_path").withColumn("line_id", F.col("_start") + F.col("line_id")).filter(F.trim("value") != "")
     parts = F.split(F.trim("value"), r"\s+")
     cmd = F.get(parts, F.lit(0))
     first, second = F.get(parts, F.lit(1)), F.get(parts, F.lit(2))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from affinity.functions import arrays, scalars, texts
-from affinity.operators import cluster, evaluate as ev, explain, factor, graph, ordered, policy, relational, search
+from affinity.operators import cluster, evaluate as ev, explain, factor, graph, ordered, policy, projections, relational, search
 from affinity.operators import scoring
 from affinity.operators.scoring import top_k_by_dot
 from affinity.plans import views
@@ -49,7 +49,7 @@ def test_sources_and_sinks(spark, tmp_path):
     files.write_csv(spark.createDataFrame([(1, "a,b")], "movieId bigint, title string").withColumn("genres", F.lit("x|y")), str(tmp_path / "out"), single_file=True)
     assert tuple(files.read_csv(spark, str(tmp_path / "out"), files.ITEMS_SCHEMA).first()) == (1, "a,b", "x|y")
     (tmp_path / "page_one").write_text("first\nsecond\n")
-    assert tuple(files.first_lines(spark, str(tmp_path / "page_one")).first()) == ("page_one", "first")
+    assert tuple(files.first_lines(files.whole_files(spark, str(tmp_path / "page_one"))).first()) == ("page_one", "first")
 
 
 def test_scratch_uses_the_configured_folder(spark):
@@ -101,7 +101,7 @@ def test_ordered_operators(spark, width):
     moving = ordered.moving_average(curve, ["k"], 5).toPandas().sort_values(["k", "t", "id"])["moving_avg"].to_numpy()
     want = pdf.groupby("k")["x"].rolling(5).mean().dropna().to_numpy()
     assert moving == pytest.approx(want)
-    q = ordered.quantiles(df, ["k"], "t", {"q1": 0.25, "q2": 0.5}, bucket).toPandas().set_index("k").sort_index()
+    q = ordered.quantiles(df, ["k"], "t", {"q1": 0.25, "q2": 0.5}).toPandas().set_index("k").sort_index()
     assert q["q1"].to_numpy() == pytest.approx(pdf.groupby("k")["t"].quantile(0.25).sort_index().to_numpy())
     assert q["q2"].to_numpy() == pytest.approx(pdf.groupby("k")["t"].median().sort_index().to_numpy())
 
@@ -118,6 +118,32 @@ def test_dense_index_and_ranges(spark):
     assert all(r["out_degree"] == sum(a == r["author"] for a, _ in brute) and r["in_degree"] == sum(b == r["author"] for _, b in brute) for r in degrees)
 
 
+def test_ranges_part_a_hot_key(spark):
+    """A key with most of the rows is cut into even ranges, in which a running sum goes on."""
+    rows = [("hot" if i % 3 else f"k{i % 30}", (i * 7919) % 20_011, float(i % 5)) for i in range(20_000)]
+    pdf = pd.DataFrame(rows, columns=["k", "t", "x"]).sort_values(["k", "t"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cut = ordered.ranged(spark.createDataFrame(rows, "k string, t bigint, x double"), ["k"], ["t"])
+        sizes = [r["count"] for r in cut.groupBy(ordered.RANGE).count().collect()]
+        assert len(sizes) == 8 and max(sizes) < 2 * 20_000 / 8
+        assert cut.filter("k = 'hot'").select(ordered.RANGE).distinct().count() >= 5
+        got = ordered.running_sum(cut, ["k"], ["t"], F.col(ordered.RANGE), "x").toPandas().sort_values(["k", "t"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert (got["running"].values == pdf.groupby("k")["x"].cumsum().values).all()
+
+
+def test_quantiles_with_a_hot_value(spark):
+    rows = [("a", 5.0)] * 700 + [("a", float(i)) for i in range(301)] + [("b", 1.0), ("b", 2.5), ("c", None), ("d", 4.0)]
+    points = {"q1": 0.25, "q2": 0.5, "q3": 0.9}
+    pdf = pd.DataFrame(rows, columns=["k", "v"])
+    got = {r["k"]: r for r in ordered.quantiles(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", points).collect()}
+    assert set(got) == {"a", "b", "d"}
+    for k, r in got.items():
+        assert [r[p] for p in points] == pytest.approx([pdf[pdf.k == k].v.quantile(q) for q in points.values()])
+
+
 # --- scoring, factors, explanations ---------------------------------------------------------
 
 def test_top_k_paths_agree(spark):
@@ -305,6 +331,75 @@ def test_search_log(spark, tmp_path):
     assert {(r["word"], r["tf"]) for r in search.inverted_index(entries).filter("page = 'one'").collect()} == {("stack", 2), ("c++", 1), ("code", 1)}
 
 
+def test_log_of_eleven_queries(spark, tmp_path):
+    """Pages come one by one; each query sees those before it, by counts or by pages."""
+    pages = {
+        "structure": "A stack in Wikipedia: push and pop are a function each", "cprogramming": "Allain on C and C++, a function", "oracle": "the JDK",
+        "overflow": "which function", "lighting": "lamps", "magazine": "magazines"}
+    files.write_pages(spark.createDataFrame(list(pages.items()), "page string, text string"), str(tmp_path / "packs"))
+    read = files.packed_pages(spark, str(tmp_path / "packs"))
+    assert {r["page"]: r["text"] for r in read.collect()} == pages
+    steps = [
+        ("add", None, "structure"), ("find", "delhi", None), ("find", "stack", None), ("find", "wikipedia", None), ("where", "magazines", "structure"), ("find", "allain", None),
+        ("add", None, "cprogramming"), ("find", "allain", None), ("find", "C", None), ("find", "C++", None), ("add", None, "oracle"), ("find", "jdk", None),
+        ("add", None, "overflow"), ("find", "function", None), ("add", None, "lighting"), ("add", None, "magazine"), ("find", "magazines", None)]
+    log = spark.createDataFrame([(10 * i, *s) for i, s in enumerate(steps)], "seq bigint, cmd string, word string, page string")
+    files.write_actions(log.repartition(5), str(tmp_path / "log"))
+    actions = files.read_actions(spark, str(tmp_path / "log"))
+    assert [tuple(r) for r in actions.orderBy("seq").collect()] == [(i + 1, c, w and w.lower(), p) for i, (c, w, p) in enumerate(steps)]
+    entries = search.postings(read)
+    assert [r["answer"] for r in search.replay(actions, entries).orderBy("seq").collect()] == [
+        "No webpage contains word delhi", "structure", "structure", "Webpage structure does not contain word magazines", "No webpage contains word allain",
+        "cprogramming", "cprogramming", "cprogramming", "oracle", "cprogramming, overflow, structure", "magazine"]
+    counts = {r["seq"]: r["n"] for r in search.visible_counts(actions, search.page_words(actions, entries)).collect()}
+    assert counts == {2: 0, 3: 1, 4: 1, 6: 0, 8: 1, 9: 1, 10: 1, 12: 1, 14: 3, 17: 1}
+
+
+@pytest.mark.parametrize("span", [1, 7, 10_000])
+def test_hot_word_in_a_long_log(spark, monkeypatch, span):
+    """Every page holds the word and every second entry asks for it: counts equal a plain replay, for any range."""
+    monkeypatch.setattr(search, "RANGE", span)
+    log = [(i, "add", None, f"p{i:03d}") if i % 2 == 0 else (i, "find", ["hot", "cold", "none"][i % 3], None) for i in range(120)] + [(200, "add", None, "p000")]
+    df = spark.createDataFrame(log, "seq bigint, cmd string, word string, page string")
+    held = spark.createDataFrame([("hot", f"p{i:03d}", 1) for i in range(0, 120, 2)] + [("cold", f"p{i:03d}", 1) for i in range(0, 120, 8)], "word string, page string, pos bigint")
+    pages = {w: [r["page"] for r in held.filter(F.col("word") == w).collect()] for w in ("hot", "cold", "none")}
+    want = {s: sorted(p for p in pages[w] if int(p[1:]) < s) for s, c, w, _ in log if c == "find"}
+    got = {r["seq"]: r["answer"] for r in search.find_answers(df, held).collect()}
+    assert got == {s: ", ".join(p) or f"No webpage contains word {log[s][2]}" for s, p in want.items()}
+    assert {r["seq"]: r["n"] for r in search.visible_counts(df, search.page_words(df, held)).collect()} == {s: len(p) for s, p in want.items()}
+
+
+# --- projections ----------------------------------------------------------------------------------
+
+def test_projections_find_nine_in_ten(spark):
+    """Recall of pairs within the distance and of the five nearest, for ids divisible by 20 against all rows."""
+    from affinity.plans.queries import similarity
+
+    points, asked = similarity.asked_points(spark, "/root/testdata/sf0.01")
+    held = {r["id"]: np.array(r["v"]) for r in points.collect()}
+    far = {(a, b): float(np.linalg.norm(held[a] - held[b])) for a in held if a % 20 == 0 for b in held if a != b}
+    true = {p for p, d in far.items() if d <= similarity.REACH}
+    got = {(r["a"], r["b"]): r["distance"] for r in projections.within(points, asked, similarity.REACH).collect()}
+    assert set(got) <= true and all(d == pytest.approx(far[p]) for p, d in got.items())
+    assert len(got) >= 0.9 * len(true) and len(true) > 100
+    nearest = {(a, b) for a in held if a % 20 == 0 for b in sorted((b for b in held if b != a), key=lambda b: (far[a, b], b))[:5]}
+    found = {(r["a"], r["b"]) for r in projections.nearest(points, asked, 5, similarity.REACH).collect()}
+    assert len(found & nearest) >= 0.9 * len(nearest)
+
+
+def test_recommenders_side_by_side(spark):
+    lists = [("x", 1, 10, 1), ("x", 1, 11, 2), ("x", 2, 10, 1), ("y", 1, 12, 1), ("y", 3, 10, 1), ("x", 1, 12, 3)]
+    truth = [(1, 11), (1, 12), (2, 99)]
+    ratings = [(5, 10)] * 3 + [(6, 11)]
+    out = ev.compare(
+        spark.createDataFrame(lists, "model string, user_id bigint, item_id bigint, rank int"), spark.createDataFrame(truth, "user_id bigint, item_id bigint"),
+        spark.createDataFrame(ratings, "user_id bigint, item_id bigint"), spark.createDataFrame([(i,) for i in (10, 11, 12, 99)], "item_id bigint"), 2)
+    got = {r["model"]: tuple(r)[1:] for r in out.collect()}
+    ideal = 1 + 1 / np.log2(3)
+    assert got["x"] == pytest.approx((2, 1 / 2 / 2, 0.5 / 2, 0.5, (1 / np.log2(3)) / ideal / 2, 0.5, (2 * -np.log2(0.75) - np.log2(0.25)) / 3), abs=1e-6)
+    assert got["y"] == pytest.approx((2, 1 / 2 / 2, 0.5 / 2, 0.5, 1 / ideal / 2, 0.5, (-np.log2(0.25) - np.log2(0.75)) / 2), abs=1e-6)
+
+
 def test_batch_q(spark):
     rows = [("a", 1, 1.0, "b"), ("a", 1, -1.0, "b"), ("b", 2, 1.0, None)]
     moves = spark.createDataFrame(rows, "state string, action bigint, reward double, next_state string")

@@ -43,7 +43,7 @@ def test_matches_sql(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - {"als_grid"}))
 def test_gives_rows(spark, name):
-    assert QUERIES[name](spark, SF).columns
+    assert QUERIES[name](spark, SF).take(1)
 
 
 def test_entry(spark):

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from affinity.operators import ordered
 from affinity.sources.scratch import materialize
 
 
@@ -35,9 +36,9 @@ def degree_table(edges: DataFrame, nodes: DataFrame | None = None, keep_null: bo
     return joined if keep_null else joined.fillna(0, ["in_degree", "out_degree"])
 
 
-def adjacency(edges: DataFrame) -> DataFrame:
-    """(src, neighbours): sorted neighbour lists."""
-    return edges.groupBy("src").agg(F.array_sort(F.collect_list("dst")).alias("neighbours"))
+def adjacency(edges: DataFrame, size: int = 1_000) -> DataFrame:
+    """(src, chunk, neighbours): sorted neighbour lists, a hub's in numbered chunks of at most ``size``."""
+    return ordered.chunked_lists(edges, ["src"], "dst", size, "neighbours")
 
 
 def _weighted_with_self(edges: DataFrame) -> DataFrame:

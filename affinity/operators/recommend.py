@@ -230,7 +230,7 @@ def similarity_times_row(ratings: DataFrame, n: int = 5, busy: int = BUSY_RATER)
     theirs = loud.select("item_id", F.col("user_id").alias("_v"), F.col("unit").alias("_u"))
     shared = units.select("user_id", "item_id", "rating").join(theirs, "item_id").groupBy("user_id", rater("_v").alias("idx")).agg(F.sum(F.col("rating") * F.col("_u")).alias("x"))
     wanted = units.select("user_id", rated("item_id").alias("idx"), F.col("rating").alias("x")).unionByName(shared).withColumnRenamed("user_id", "id")
-    return top_k_by_dot(materialize(wanted, "wanted"), materialize(columns, "columns"), n, seen=ratings).withColumnRenamed("id", "user_id")
+    return top_k_by_dot(wanted, columns, n, seen=ratings).withColumnRenamed("id", "user_id")
 
 
 def co_liked(ratings: DataFrame, k: int = 3) -> DataFrame:

@@ -42,10 +42,11 @@ def total_degree(spark, sf):
     return graph.total_degrees(views.edges(spark, sf)).orderBy(F.desc("degree"), "id").limit(5)
 
 
-@query("adjacency", f"WITH {E} SELECT src, string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst) AS neighbours, count(*) AS n FROM edges GROUP BY 1")
+@query("adjacency", f"""WITH {E}, r AS (SELECT src, dst, (row_number() OVER (PARTITION BY src ORDER BY dst) - 1) // 1000 AS chunk FROM edges)
+SELECT src, chunk, string_agg(CAST(dst AS VARCHAR), ',' ORDER BY dst) AS neighbours, count(*) AS n FROM r GROUP BY 1, 2""")
 def adjacency(spark, sf):
     a = graph.adjacency(views.edges(spark, sf))
-    return a.select("src", F.array_join(F.col("neighbours").cast("array<string>"), ",").alias("neighbours"), F.size("neighbours").cast("bigint").alias("n"))
+    return a.select("src", "chunk", F.array_join(F.col("neighbours").cast("array<string>"), ",").alias("neighbours"), F.size("neighbours").cast("bigint").alias("n"))
 
 
 def pagerank_sql(damping: float, rounds: int, tolerance: float | None = None, spread: bool = False, edges: str = E) -> str:

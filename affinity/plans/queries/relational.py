@@ -203,10 +203,12 @@ def weighted_avg(spark, sf):
     return sums.join(totals, "user_id").select("user_id", "tag", F.round(scalars.ratio(F.col("s"), F.col("w")), 6).alias("share"))
 
 
-@query("collect_sets", f"WITH {I} SELECT user_id, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS items, count(*) AS n FROM interactions GROUP BY 1")
+@query("collect_sets", f"""WITH {I}, r AS (SELECT user_id, item_id, (row_number() OVER (PARTITION BY user_id ORDER BY item_id) - 1) // 1000 AS chunk FROM interactions)
+SELECT user_id, chunk, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS items, count(*) AS n FROM r GROUP BY 1, 2""")
 def collect_sets(spark, sf):
-    items = F.array_join(F.array_sort(F.collect_set("item_id")).cast("array<string>"), ",")
-    return views.interactions(spark, sf).groupBy("user_id").agg(items.alias("items"), F.count(F.lit(1)).alias("n"))
+    """Each user's items as lists, a long one in numbered chunks."""
+    lists = ordered.chunked_lists(views.interactions(spark, sf).select("user_id", "item_id").distinct(), ["user_id"], "item_id")
+    return lists.select("user_id", "chunk", F.array_join(F.col("items").cast("array<string>"), ",").alias("items"), F.size("items").cast("bigint").alias("n"))
 
 
 @query("reduce_sum", "SELECT l_suppkey, sum(CAST(l_quantity AS BIGINT))::BIGINT AS qty FROM lineitem GROUP BY 1")

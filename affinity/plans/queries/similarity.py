@@ -50,7 +50,7 @@ def cosine_pairs(spark, sf):
 @query("cosine_top_n", f"""WITH {UNIT_SQL}, q AS (SELECT word, w AS wq FROM unit WHERE doc_id = 1)
 SELECT doc_id, round(sum(w * wq), 6) AS cosine FROM unit JOIN q USING (word) WHERE doc_id <> 1 GROUP BY 1 ORDER BY cosine DESC, doc_id LIMIT 5""")
 def cosine_top_n(spark, sf):
-    unit = materialize(unit_rows(spark, sf).select("doc_id", "word", "w"), "unit")
+    unit = unit_rows(spark, sf).select("doc_id", "word", "w")
     asked = unit.filter("doc_id = 1").select("word", F.col("w").alias("wq"))
     scores = unit.filter("doc_id != 1").join(asked, "word").groupBy("doc_id").agg(F.round(F.sum(F.col("w") * F.col("wq")), 6).alias("cosine"))
     return scores.orderBy(F.desc("cosine"), "doc_id").limit(5)

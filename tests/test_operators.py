@@ -134,6 +134,12 @@ def test_ranges_part_a_hot_key(spark):
     assert (got["running"].values == pdf.groupby("k")["x"].cumsum().values).all()
 
 
+def test_lists_in_chunks(spark):
+    rows = [("hub", (i * 37) % 1009) for i in range(1009)] + [("b", 5), ("b", 3), ("c", 1)]
+    got = {(r["k"], r["chunk"]): r["items"] for r in ordered.chunked_lists(spark.createDataFrame(rows, "k string, v bigint"), ["k"], "v", 100).collect()}
+    assert got == {**{("hub", c): list(range(100 * c, min(100 * c + 100, 1009))) for c in range(11)}, ("b", 0): [3, 5], ("c", 0): [1]}
+
+
 def test_quantiles_with_a_hot_value(spark):
     rows = [("a", 5.0)] * 700 + [("a", float(i)) for i in range(301)] + [("b", 1.0), ("b", 2.5), ("c", None), ("d", 4.0)]
     points = {"q1": 0.25, "q2": 0.5, "q3": 0.9}

@@ -1,4 +1,10 @@
-"""The cleaning pipeline over ``documents``: each stage works on all that the one before it kept."""
+"""The cleaning pipeline over ``documents``: each stage works on all that the one before it kept.
+
+All stages take any table with doc_id, text and source. A null text counts as
+the empty one and stays null where it is handed on; a null or repeated doc_id
+is one of its row alone; repeated rows are judged alike; texts are taken whole;
+an empty table gives an empty one; further columns, of any name, are handed on.
+"""
 
 from __future__ import annotations
 
@@ -22,7 +28,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id, unchanged."""
+    """One document of each group of near-duplicates, the one with the smallest id, unchanged.
+
+    Of rows that agree in id and text, but not in other columns, any one stays.
+    """
     return simhash.one_of_each(docs)
 
 

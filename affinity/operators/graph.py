@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinity.operators import ordered
-from affinity.sources.scratch import materialize
+from affinity.sources.scratch import materialize, materialize_bucketed
 
 
 def vertices(edges: DataFrame) -> DataFrame:
@@ -41,21 +41,25 @@ def adjacency(edges: DataFrame, size: int = 1_000) -> DataFrame:
     return ordered.chunked_lists(edges, ["src"], "dst", size, "neighbours")
 
 
-def _weighted_with_self(edges: DataFrame) -> DataFrame:
-    """Edges with weight 1/out-degree, and one self row per node (null weight).
+def _links(edges: DataFrame, slice_size: int) -> DataFrame:
+    """(src, part, dst, w, parts): edges with weight 1/out-degree, and one self row per node (null weight).
 
-    The self row carries a node's earlier ranks through the same join and
-    aggregate that moves the ranks, so a round needs no further join.
+    The self row carries a node through the join and aggregate that move the
+    ranks, so a round needs no further join. The out-edges of a node are
+    numbered into parts of about ``slice_size`` by a hash of their end; its
+    self row, in part 0, holds the number of parts.
     """
-    degrees = out_degrees(edges).withColumnRenamed("id", "src")
-    weighted = edges.join(degrees, "src").select("src", "dst", (F.lit(1.0) / F.col("out_degree")).alias("w"))
-    own = vertices(edges).select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(None).cast("double").alias("w"))
+    degrees = out_degrees(edges).select(F.col("id").alias("src"), "out_degree", F.ceil(F.col("out_degree") / slice_size).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("dst"), F.col("parts")).cast("int").alias("part")
+    weighted = edges.join(degrees, "src").select("src", part, "dst", (F.lit(1.0) / F.col("out_degree")).alias("w"), F.lit(None).cast("int").alias("parts"))
+    nodes = vertices(edges).withColumnRenamed("id", "src").join(degrees, "src", "left")
+    own = nodes.select("src", F.lit(0).alias("part"), F.col("src").alias("dst"), F.lit(None).cast("double").alias("w"), F.coalesce("parts", F.lit(1)).alias("parts"))
     return weighted.unionByName(own)
 
 
 def pagerank(
     edges: DataFrame, damping: float = 0.85, iterations: int = 40, tolerance: float | None = None,
-    dangling: str = "drop", cut_every: int = 5,
+    dangling: str = "drop", cut_every: int = 5, slice_size: int = 100_000,
 ) -> tuple[DataFrame, int]:
     """((id, rank), rounds). Ranks start uniform and sum to 1 unless mass is dropped.
 
@@ -63,8 +67,16 @@ def pagerank(
     is below it. ``dangling='spread'`` gives the rank of nodes without
     out-edges to all nodes evenly. Lineage is cut every ``cut_every`` rounds
     and the changes of those rounds are summed in one pass.
+
+    The links are written once, bucketed by their source, and stay where they
+    are: a round shuffles partial sums only. Where a node has more than
+    ``slice_size`` links, buckets go by (src, part), so that none holds more of
+    one node, and a round also sends one rank to each node and part.
     """
-    links = materialize(_weighted_with_self(edges.distinct()), "links")
+    edges = materialize(edges.distinct(), "edges")
+    parted = (out_degrees(edges).agg(F.max("out_degree")).first()[0] or 0) > slice_size
+    keys, parts = (["src", "part"], ["parts"]) if parted else (["src"], [])
+    links = materialize_bucketed(_links(edges, slice_size), keys, "links")
     is_self = F.col("w").isNull()
     n = links.filter(is_self).count()
     if n == 0:
@@ -77,7 +89,7 @@ def pagerank(
             sinks = None
         else:
             cut_every = 1
-    state = links.filter(is_self).select(F.col("src").alias("id"), F.lit(1.0 / n).alias("r0"))
+    state = links.filter(is_self).select(F.col("src").alias("id"), *parts, F.lit(1.0 / n).alias("r0"))
     done = 0
     while done < iterations:
         steps = min(cut_every, iterations - done)
@@ -86,10 +98,14 @@ def pagerank(
             lost = state.join(sinks, "id", "left_semi").agg(F.sum("r0").alias("m")).first()["m"]  # one number
         base = (1.0 - damping) / n + damping * lost / n
         for i in range(1, steps + 1):
-            moved = links.join(state.withColumnRenamed("id", "src"), "src")
-            carried = [F.max(F.when(is_self, F.col(f"r{j}"))).alias(f"r{j}") for j in range(i)]
+            # Earlier ranks are kept for the changes only, with a node's own row.
+            earlier = range(i) if tolerance is not None else []
+            each = [F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")] if parted else []
+            ranks = state.select(F.col("id").alias("src"), *each, *[f"r{j}" for j in sorted({*earlier, i - 1})])
+            moved = links.join(ranks, keys)
+            carried = [F.max(F.when(is_self, F.col(f"r{j}"))).alias(f"r{j}") for j in earlier]
             flow = F.sum(F.coalesce(F.col(f"r{i - 1}") * F.col("w"), F.lit(0.0)))
-            state = moved.groupBy(F.col("dst").alias("id")).agg(*carried, (F.lit(base) + F.lit(damping) * flow).alias(f"r{i}"))
+            state = moved.groupBy(F.col("dst").alias("id")).agg(*[F.max(c).alias(c) for c in parts], *carried, (F.lit(base) + F.lit(damping) * flow).alias(f"r{i}"))
         state = materialize(state, "ranks")
         taken = steps
         if tolerance is not None:
@@ -99,7 +115,7 @@ def pagerank(
                 taken = small[0]
                 return state.select("id", F.col(f"r{taken}").alias("rank")), done + taken
         done += taken
-        state = state.select("id", F.col(f"r{taken}").alias("r0"))
+        state = state.select("id", *parts, F.col(f"r{taken}").alias("r0"))
     return state.select("id", F.col("r0").alias("rank")), done
 
 

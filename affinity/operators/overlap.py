@@ -11,6 +11,10 @@ on the element. Three rules keep that join near the size of its result:
   afterwards by equi-joins on (id, element). This is exact: a qualifying
   pair's rarest shared element is never among the left-out ones;
 * sizes that cannot reach the threshold are filtered inside the join.
+
+An element of few ids makes few pairs, so callers with a low threshold keep
+such ``light`` elements in the join; if then nothing is left out, the pairs of
+the join are the result. The rows are the same for any limit.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from pyspark.sql import functions as F
 from affinity.sources.scratch import materialize
 
 EPSILON = 1e-9
+LIGHT = 200  # ids that may share an element before it can be left out of a join with a low threshold
 
 
 def copy_groups(members: DataFrame, id_col: str = "id", elem: str = "elem") -> DataFrame:
@@ -44,8 +49,8 @@ def representatives(members: DataFrame, groups: DataFrame, id_col: str = "id") -
     return members.join(reps, id_col, "left_semi")
 
 
-def _split_prefix(members: DataFrame, mass: Column, need: Callable[[Column], Column]) -> DataFrame:
-    """Tags members with ``total`` (the id's mass) and ``lead`` (False when left out).
+def _split_prefix(members: DataFrame, mass: Column, need: Callable[[Column], Column], light: int = 0) -> DataFrame:
+    """Tags members with ``total`` (the id's mass) and ``lead`` (False when left out, which no element of up to ``light`` ids is).
 
     Elements of a single id can never be shared and are dropped after they
     counted into the total. The cut is made on element frequencies: per id one
@@ -60,7 +65,7 @@ def _split_prefix(members: DataFrame, mass: Column, need: Callable[[Column], Col
     sums = histogram.withColumn("_cum", F.sum("_m").over(hot_first)).join(totals, "id")
     reached = F.when(F.col("_cum") >= need(F.col("total")), F.col("_f"))
     cut = sums.groupBy("id").agg(F.max(reached).alias("_cut"), F.max("total").alias("total")).filter("_cut IS NOT NULL")
-    return counted.join(cut, "id").withColumn("lead", F.col("_f") <= F.col("_cut")).drop("_f", "_cut", "_mass")
+    return counted.join(cut, "id").withColumn("lead", F.col("_f") <= F.greatest("_cut", F.lit(light))).drop("_f", "_cut", "_mass")
 
 
 def shared_sums(
@@ -69,10 +74,12 @@ def shared_sums(
     need: Callable[[Column], Column],
     mass: Column | None = None,
     pair_filter: Callable[[Column, Column], Column] | None = None,
+    light: int = 0,
 ) -> DataFrame:
     """(a, b, total_a, total_b, <sums>) for every pair ``a < b`` whose shared mass can reach ``need``.
 
-    ``members`` holds distinct (id, elem) rows with a value ``x``.
+    ``members`` holds distinct (id, elem) rows with a value ``x``. Elements of
+    up to ``light`` ids stay in the join.
     """
     mass = F.lit(1) if mass is None else mass
 
@@ -85,7 +92,7 @@ def shared_sums(
     def paired(rows: DataFrame) -> DataFrame:
         return rows.select("a", "b", "total_a", "total_b", *[fn(F.col("x_a"), F.col("x_b")).alias(n) for n, fn in sums.items()])
 
-    tagged = materialize(_split_prefix(members, mass, need), "members")
+    tagged = materialize(_split_prefix(members, mass, need, light), "members")
     leading, rest = tagged.filter("lead"), tagged.filter("NOT lead")
     joined = (
         side(leading, "a", ["elem", F.col("total").alias("total_a")])
@@ -93,6 +100,8 @@ def shared_sums(
     )
     if pair_filter is not None:
         joined = joined.filter(pair_filter(F.col("total_a"), F.col("total_b")))
+    if rest.isEmpty():
+        return combine(paired(joined))
     pairs = materialize(combine(paired(joined)), "pairs")
     keys = pairs.select("a", "b", "total_a", "total_b")
     # Shared elements left out on a's side, then those left out on b's side only.
@@ -101,7 +110,7 @@ def shared_sums(
     return combine(pairs.unionByName(paired(from_a)).unionByName(paired(from_b)))
 
 
-def jaccard_pairs(members: DataFrame, threshold: float) -> DataFrame:
+def jaccard_pairs(members: DataFrame, threshold: float, light: int = 0) -> DataFrame:
     """(a, b, n_a, n_b, shared, jaccard) for pairs at or above a threshold > 0."""
     t = F.lit(threshold)
     pairs = shared_sums(
@@ -109,6 +118,7 @@ def jaccard_pairs(members: DataFrame, threshold: float) -> DataFrame:
         {"shared": lambda x, y: F.lit(1)},
         need=lambda n: F.ceil(t * n - EPSILON),
         pair_filter=lambda n, m: (m >= t * n - EPSILON) & (n >= t * m - EPSILON),
+        light=light,
     )
     jaccard = F.col("shared") / (F.col("total_a") + F.col("total_b") - F.col("shared"))
     return pairs.select("a", "b", F.col("total_a").alias("n_a"), F.col("total_b").alias("n_b"), "shared", jaccard.alias("jaccard")).filter(
@@ -135,7 +145,7 @@ def cosine_pairs(unit_members: DataFrame, threshold: float) -> DataFrame:
     return pairs.select("a", "b", "cosine").filter(F.col("cosine") >= threshold * (1 - EPSILON))
 
 
-def co_rated(ratings: DataFrame, id_col: str, elem: str, value: str = "rating", min_shared: int = 2) -> DataFrame:
+def co_rated(ratings: DataFrame, id_col: str, elem: str, value: str = "rating", min_shared: int = 2, light: int = LIGHT) -> DataFrame:
     """Sums over the shared elements of each pair of ids with at least ``min_shared``.
 
     (a, b, n, sx, sy, sxx, syy, sxy). Half-star values are doubled to integers,
@@ -147,6 +157,7 @@ def co_rated(ratings: DataFrame, id_col: str, elem: str, value: str = "rating",
         {"n": lambda x, y: F.lit(1), "sx": lambda x, y: x, "sy": lambda x, y: y,
          "sxx": lambda x, y: x * x, "syy": lambda x, y: y * y, "sxy": lambda x, y: x * y},
         need=lambda n: F.lit(min_shared),
+        light=light,
     )
     return pairs.drop("total_a", "total_b").filter(F.col("n") >= min_shared)
 

@@ -217,7 +217,7 @@ i AS (SELECT x.id AS a, y.id AS b, x.n AS n_a, y.n AS n_b, count(*) AS shared FR
 SELECT a, b, n_a, n_b, shared, round(shared / (n_a + n_b - shared), 6) AS jaccard FROM i WHERE shared / (n_a + n_b - shared) >= {USER_JACCARD}""")
 def jaccard_threshold(spark, sf):
     members = views.interactions(spark, sf).select(F.col("user_id").alias("id"), F.col("item_id").alias("elem"))
-    pairs = overlap.jaccard_pairs(members, USER_JACCARD)
+    pairs = overlap.jaccard_pairs(members, USER_JACCARD, overlap.LIGHT)
     return pairs.select("a", "b", "n_a", "n_b", F.col("shared").cast("bigint").alias("shared"), F.round("jaccard", 6).alias("jaccard"))
 
 

@@ -40,3 +40,20 @@ def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize_bucketed(df: DataFrame, keys: list[str], label: str = "cut") -> DataFrame:
+    """Like :func:`materialize`, in one sorted bucket per shuffle partition of ``keys``.
+
+    Joins on the keys then read the buckets without shuffling them, however
+    often. The name that a bucketed write needs is taken out of the catalogue
+    again; the files stay.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"{label}_{uuid.uuid4().hex}"
+    laid = df.repartition(buckets, *keys)  # one file a bucket
+    laid.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", scratch_path(spark, label)).format("parquet").saveAsTable(name)
+    held = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return held

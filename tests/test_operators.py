@@ -13,7 +13,7 @@ from affinity.operators import scoring
 from affinity.operators.scoring import top_k_by_dot
 from affinity.plans import views
 from affinity.sources import files
-from affinity.sources.scratch import materialize, scratch_root
+from affinity.sources.scratch import materialize, materialize_bucketed, scratch_root
 
 SF = "/root/testdata/sf0.001"
 
@@ -267,6 +267,28 @@ def test_pagerank_golden(spark, cut_every):
     assert sum(got.values()) == pytest.approx(1.0)
 
 
+def test_pagerank_hubs_in_parts(spark):
+    """A hub's links in parts give the same ranks, and no round shuffles the links."""
+    pairs = [(0, i) for i in range(1, 300)] + [(i, i % 7) for i in range(1, 300)] + [(i, i + 1) for i in range(1, 50)]
+    edges = spark.createDataFrame(pairs, "src bigint, dst bigint")
+    whole, parted = (graph.pagerank(edges, 0.85, 12, slice_size=size)[0] for size in (100_000, 16))
+    assert {r["id"]: r["rank"] for r in parted.collect()} == pytest.approx({r["id"]: r["rank"] for r in whole.collect()}, rel=1e-12)
+    links = graph._links(edges.distinct(), 16)
+    most = links.filter("w IS NOT NULL").groupBy("src", "part").count().agg(F.max("count")).first()[0]
+    assert most <= 40 and links.filter("src = 0 AND w IS NULL").first()["parts"] == 19
+
+
+@pytest.mark.parametrize("keys", [["src"], ["src", "part"]])
+def test_buckets_stay_in_place(spark, keys):
+    links = materialize_bucketed(spark.range(1000).selectExpr("id AS src", "CAST(id % 3 AS INT) AS part", "id % 10 AS dst"), keys, "links")
+    sums = links.groupBy(F.col("dst").alias("src")).agg(F.sum("src").alias("r"), F.max("part").alias("part"))
+    plan = links.hint("merge").join(sums, keys)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("SortMergeJoin"):].split("\n")
+    first_scan = next(i for i, line in enumerate(below) if "FileScan" in line)
+    assert "Bucketed: true" in below[first_scan] and not any("Exchange" in line for line in below[:first_scan])
+    assert not spark.catalog.listTables()
+
+
 def test_pagerank_dangling(spark):
     edges = spark.createDataFrame([(1, 2), (1, 3), (2, 3), (4, 1)], "src bigint, dst bigint")  # 3 has no way out
     spread = {r["id"]: r["rank"] for r in graph.pagerank(edges, 0.85, 60, dangling="spread")[0].collect()}

@@ -55,13 +55,16 @@ def test_jaccard_matches_brute_force(table, ratings, threshold):
     got = {(r["a"], r["b"]): r["jaccard"] for r in overlap.jaccard_pairs(members, threshold).collect()}
     assert got == pytest.approx(expected)
     assert all(0 <= j <= 1 for j in got.values())
+    light = {(r["a"], r["b"]): r["jaccard"] for r in overlap.jaccard_pairs(members, threshold, overlap.LIGHT).collect()}
+    assert light == pytest.approx(expected)
 
 
 @pytest.mark.parametrize("axis", [0, 1])
-def test_shared_sums_match_brute_force(table, ratings, axis):
-    """Left-out elements are in the sums."""
+@pytest.mark.parametrize("light", [0, 4, overlap.LIGHT])
+def test_shared_sums_match_brute_force(table, ratings, axis, light):
+    """Left-out elements are in the sums, whatever number of ids keeps an element in the join."""
     names = ("user_id", "item_id") if axis == 0 else ("item_id", "user_id")
-    got = {(r["a"], r["b"]): (r["n"], r["sx"], r["sy"], r["sxy"]) for r in overlap.co_rated(table, *names).collect()}
+    got = {(r["a"], r["b"]): (r["n"], r["sx"], r["sy"], r["sxy"]) for r in overlap.co_rated(table, *names, light=light).collect()}
     rows = by(ratings, axis)
     expected = {}
     for a, b in itertools.combinations(sorted(rows), 2):

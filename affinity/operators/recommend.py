@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.functions.scalars import clamp, ratio
@@ -14,6 +14,8 @@ from affinity.sources.scratch import materialize
 LIKED_FROM = 4.0
 #: Ratings of one user that are still paired with each other.
 BUSY_RATER = 1_000
+#: Raters of one item that all meet each user who asks for it.
+MANY_RATERS = 1_000
 
 
 # --- content ------------------------------------------------------------------------
@@ -88,20 +90,19 @@ def nearest(similarities: DataFrame, k: int) -> DataFrame:
     return top_k(similarities.filter("sim > 0"), ["id"], [F.desc("sim"), "other"], k)
 
 
-def neighbour_means(rated: DataFrame, raters: DataFrame, k: int) -> DataFrame:
+def neighbour_means(rated: DataFrame, k: int) -> DataFrame:
     """(user_id, item_id, pred): weighted mean over the k most similar raters of the item.
 
-    ``rated`` is (user_id, item_id, other, sim, rating) for similarities other
-    than 0; ``raters`` is (item_id, n_raters). Raters with similarity 0 carry
-    no weight but rank before the negative ones.
+    ``rated`` is (user_id, item_id, other, sim, rating, n_raters) for
+    similarities other than 0, n_raters being all raters of the item. Raters
+    with similarity 0 carry no weight but rank before the negative ones. Place
+    and number of a pair's raters come from one pass over one shuffle.
     """
     keys = ["user_id", "item_id"]
-    weighed = rated.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    first = top_k(rated, keys, [F.desc("sim"), "other"], k)
-    counted = first.join(weighed, keys).join(raters, "item_id")
-    place = F.col("rank") + F.when(F.col("sim") < 0, F.col("n_raters") - F.col("_n")).otherwise(F.lit(0))
-    chosen = counted.filter(place <= k)
-    return chosen.groupBy(*keys).agg(F.sum(F.col("sim") * F.col("rating")).alias("_num"), F.sum(F.abs("sim")).alias("_den")).select(
+    pair = Window.partitionBy(*keys)
+    placed = rated.withColumn("_place", F.row_number().over(pair.orderBy(F.desc("sim"), "other"))).withColumn("_n", F.count(F.lit(1)).over(pair))
+    place = F.col("_place") + F.when(F.col("sim") < 0, F.col("n_raters") - F.col("_n")).otherwise(F.lit(0))
+    return placed.filter(place <= k).groupBy(*keys).agg(F.sum(F.col("sim") * F.col("rating")).alias("_num"), F.sum(F.abs("sim")).alias("_den")).select(
         *keys, ratio(F.col("_num"), F.col("_den")).alias("pred"))
 
 
@@ -109,21 +110,29 @@ def rater_counts(ratings: DataFrame) -> DataFrame:
     return ratings.groupBy("item_id").agg(F.count(F.lit(1)).alias("n_raters"))
 
 
-def predict_by_raters(pairs: DataFrame, similarities: DataFrame, ratings: DataFrame, k: int = 5) -> DataFrame:
-    """Predictions for given (user_id, item_id); 0 where no rater has a similarity."""
+def predict_by_raters(pairs: DataFrame, similarities: DataFrame, ratings: DataFrame, k: int = 5, popular: int = MANY_RATERS) -> DataFrame:
+    """Predictions for given (user_id, item_id); 0 where no rater has a similarity.
+
+    An asked pair meets the raters of its item, and those the similarities of
+    its user. Only items of more than ``popular`` raters, of whom many are
+    neighbours, are reached through the user's neighbours instead. Any limit
+    gives the same rows.
+    """
     wanted = pairs.select("user_id", "item_id")
     sims = similarities.select(F.col("id").alias("user_id"), "other", "sim")
     known = ratings.select(F.col("user_id").alias("other"), "item_id", "rating")
-    rated = wanted.join(sims, "user_id").join(known, ["other", "item_id"])
-    return wanted.join(neighbour_means(rated, rater_counts(ratings), k), ["user_id", "item_id"], "left").fillna(0.0, ["pred"])
+    asked = wanted.join(rater_counts(ratings), "item_id")
+    by_item = asked.filter(F.col("n_raters") <= popular).join(known, "item_id").join(sims, ["user_id", "other"])
+    by_user = asked.filter(F.col("n_raters") > popular).join(sims, "user_id").join(known, ["other", "item_id"])
+    return wanted.join(neighbour_means(by_item.unionByName(by_user), k), ["user_id", "item_id"], "left").fillna(0.0, ["pred"])
 
 
 def unseen_by_raters(similarities: DataFrame, ratings: DataFrame, n: int = 5, k: int = 5) -> DataFrame:
     """Top-n unseen items per user. Only items that a similar user rated can score."""
     sims = similarities.select(F.col("id").alias("user_id"), "other", "sim")
-    known = ratings.select(F.col("user_id").alias("other"), "item_id", "rating")
+    known = ratings.join(rater_counts(ratings), "item_id").select(F.col("user_id").alias("other"), "item_id", "rating", "n_raters")
     rated = sims.join(known, "other").join(ratings.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
-    preds = neighbour_means(rated, rater_counts(ratings), k).withColumn("score", F.round("pred", 6))
+    preds = neighbour_means(rated, k).withColumn("score", F.round("pred", 6))
     return top_k(preds, ["user_id"], [F.desc("score"), "item_id"], n).select("user_id", "item_id", "score", "rank")
 
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from affinity.operators import overlap, recommend as rc, signatures as sg
+from affinity.sources.scratch import materialize
 
 
 def skewed_ratings(n_users=60, n_items=80, seed=1):
@@ -158,16 +159,26 @@ def test_predictions_match_brute_force(table, ratings):
         if len(common) >= 2:
             sims[a, b] = round(pearson([users[a][c] for c in common], [users[b][c] for c in common]), 9)
     wanted = [(u, i) for u in (1, 5, 9) for i in range(80) if i not in users[u]]
-    k, expected = 3, {}
+    k, expected, scored = 3, {}, set()
     for u, i in wanted:
         near = sorted(((sims.get((u, v), 0.0), -v, users[v][i]) for v in users if v != u and i in users[v]), reverse=True)[:k]
         den = sum(abs(s) for s, _, _ in near)
         expected[u, i] = sum(s * r for s, _, r in near) / den if den else 0.0
+        if den:
+            scored.add((u, i))
     spark = table.sparkSession
     pairs = spark.createDataFrame(wanted, "user_id bigint, item_id bigint")
     similarities = rc.user_similarities(table).withColumn("sim", F.round("sim", 9)).filter("sim != 0")
-    got = {(r["user_id"], r["item_id"]): r["pred"] for r in rc.predict_by_raters(pairs, similarities, table, k).collect()}
-    assert got == pytest.approx(expected, abs=1e-6)
+    similarities = materialize(similarities, "similarities")
+    for popular in (0, 8, rc.MANY_RATERS):  # all items through neighbours, some, none
+        got = {(r["user_id"], r["item_id"]): r["pred"] for r in rc.predict_by_raters(pairs, similarities, table, k, popular).collect()}
+        assert got == pytest.approx(expected, abs=1e-6)
+    unseen = rc.unseen_by_raters(similarities.filter("id IN (1, 5, 9)"), table, 4, k)
+    best = {u: sorted((-round(p, 6), i) for (v, i), p in expected.items() if v == u and (v, i) in scored)[:4] for u in (1, 5, 9)}
+    got = {u: [] for u in best}
+    for r in unseen.orderBy("user_id", "rank").collect():
+        got[r["user_id"]].append(r["score"])
+    assert all(got[u] == pytest.approx([-s for s, _ in best[u]], abs=2e-6) for u in best)
 
 
 def test_co_liked_with_a_hot_user(table, ratings):

@@ -68,15 +68,40 @@ def _mixed(x: np.ndarray, extra: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def runs(symbols: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(start, windows, anchor, content) of each run of one piece of text; the content hash covers all its symbols."""
+def _echoes(sums: np.ndarray, grams: np.ndarray, down: np.ndarray, rule: Rule) -> np.ndarray:
+    """Windows that equal one less than ``width`` places before them, which may be of the same run: text with a short period.
+
+    All substrings of such a window recur at the same distance, one of each
+    ``width`` neighbours among them, so only those are compared with what follows.
+    """
+    n, width = len(sums) - rule.length, rule.length - rule.gram + 1
+    again = np.zeros(n, bool)
+    padded = np.r_[grams, np.zeros(width - 1, np.uint64)]
+    near = np.lib.stride_tricks.sliding_window_view(padded, width)[::width]
+    hits = near[:, 1:] == near[:, :1]
+    some = np.flatnonzero(hits.any(axis=0)) + 1
+    if len(some):
+        whole = _mixed((sums[rule.length :] - sums[: -rule.length]) * down[:n])
+    for d in some:
+        x = (np.flatnonzero(hits[:, d - 1])[:, None] * width - np.arange(width)).ravel()
+        x = x[(x >= 0) & (x < n - d)]
+        again[x[whole[x] == whole[x + d]] + d] = True
+    return np.flatnonzero(again)
+
+
+def runs(symbols: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(start, windows, anchor, content) of each run of one piece of text; the content hash covers all its symbols.
+
+    The fifth array holds the windows that repeat one of their own run, where the rule counts those.
+    """
     n, width = len(symbols) - rule.length + 1, rule.length - rule.gram + 1
     if n <= 0:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.uint64))
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.uint64, np.int64))
     up, down = _powers(PIECE + 2 * rule.length)
     sums = np.zeros(len(symbols) + 1, np.uint64)
     np.cumsum(_mixed(symbols.astype(np.uint64), 1) * up[: len(symbols)], out=sums[1:])
     low = _mixed((sums[rule.gram :] - sums[: -rule.gram]) * down[: len(symbols) - rule.gram + 1])
+    echoes = _echoes(sums, low, down, rule) if rule.within else np.zeros(0, np.int64)
     # Smallest of each ``width`` neighbours, by doubling.
     span = 1
     while 2 * span <= width:
@@ -93,14 +118,14 @@ def runs(symbols: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray, np.nd
         size = np.diff(np.r_[fresh, n])
     end = fresh + size + rule.length - 1
     content = _mixed((sums[end] - sums[fresh]) * down[fresh] + size.astype(np.uint64), 7)
-    return fresh, size, low[fresh], content
+    return fresh, size, low[fresh], content, echoes
 
 
 def _all_runs(text: str, rule: Rule) -> Iterator[tuple[np.ndarray, ...]]:
     symbols = rule.symbols(text)
     for at in range(0, max(len(symbols) - rule.length + 1, 0), PIECE):
-        start, size, anchor, content = runs(symbols[at : at + PIECE + rule.length - 1], rule)
-        yield start + at, size, anchor, content
+        start, size, anchor, content, echoes = runs(symbols[at : at + PIECE + rule.length - 1], rule)
+        yield start + at, size, anchor, content, echoes + at
 
 
 def pack(pos: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -144,11 +169,13 @@ RUNS = "a bigint, c bigint, doc bigint, version bigint, at bigint, done boolean"
 def _run_rows(rule: Rule):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            parts = []
+            parts, echoed = [], []
             for doc, version, text in zip(batch["doc"], batch["version"], batch["text"]):
-                for start, size, anchor, content in _all_runs(text, rule):
+                for start, size, anchor, content, echoes in _all_runs(text, rule):
                     n = len(start)
                     parts.append((np.full(n, doc, np.int64), np.full(n, version, np.int64), start, size, anchor, content))
+                    if len(echoes):
+                        echoed.append((np.full(len(echoes), doc, np.int64), np.full(len(echoes), version, np.int64), echoes))
             if not parts:
                 continue
             doc, version, start, size, anchor, content = (np.concatenate(x) for x in zip(*parts))
@@ -156,7 +183,11 @@ def _run_rows(rule: Rule):
             order = np.lexsort((start, doc, content, anchor))
             doc, version, start, size, anchor, content = (x[order] for x in (doc, version, start, size, anchor, content))
             late = _later(doc, start, _firsts(anchor, content), rule.within)
-            d, v, s, e = _joined(doc[late], version[late], start[late], start[late] + size[late] + rule.length - 1)
+            d, v, s, e = doc[late], version[late], start[late], start[late] + size[late] + rule.length - 1
+            if echoed:
+                ed, ev, es = (np.concatenate(x) for x in zip(*echoed))
+                d, v, s, e = (np.r_[x, y] for x, y in ((d, ed), (v, ev), (s, es), (e, es + rule.length)))
+            d, v, s, e = _joined(d, v, s, e)
             if len(d):
                 spread = _mixed(d.astype(np.uint64) + s.astype(np.uint64)).view(np.int64)
                 yield pd.DataFrame({"a": spread, "c": e, "doc": d, "version": v, "at": pack(s, np.zeros(len(s))), "done": True})

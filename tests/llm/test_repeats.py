@@ -135,3 +135,20 @@ def test_rows_of_one_id_whose_short_hashes_agree(spark, doc_id):
     got = substring_dedup.digest(df)
     assert sorted(map(tuple, got.collect()), key=str) == plain_words(rows)
     assert {r.n_removed for r in suffix_dedup.digest(frame(spark, rows[:2])).collect()} == {0}
+
+
+@pytest.mark.parametrize("piece", [1 << 20, 150])
+def test_text_with_a_short_period_repeats_itself(spark, monkeypatch, piece):
+    """Windows that equal an earlier one of their own run, in a text that no other text shares."""
+    monkeypatch.setattr(repeats, "PIECE", piece)
+    draw = random.Random(5)
+    word = lambda k, letters="abcdefghijklmnop": "".join(draw.choices(letters, k=k))
+    rows = [(1, "-" * 99), (2, "=" * 100), (3, "+" * 101), (4, "z" * 168), (5, "y" * 169), (6, "q" * 700), (7, "é" * 60)]
+    for i, period in enumerate([2, 3, 7, 31, 32, 33, 50, 67, 68, 69, 70, 99, 100, 130]):
+        own = word(period)
+        for j, more in enumerate([-1, 0, 1, 20, 60]):
+            rows.append((10 + 10 * i + j, word(draw.randint(0, 150), "rstuvw") + word(1, "X") + (own + f"{j}" * (j > 2)) * 9))
+            rows[-1] = (rows[-1][0], rows[-1][1][: len(rows[-1][1]) - 9 * period + 100 + period + more] + word(30, "RSTUVW"))
+    rows += [(1000 + i, word(draw.randint(0, 80)) + word(draw.randint(1, 75)) * draw.randint(2, 9) + word(draw.randint(0, 80))) for i in range(150)]
+    got = suffix_dedup.digest(frame(spark, rows))
+    assert sorted(map(tuple, got.collect()), key=str) == plain_bytes(rows)

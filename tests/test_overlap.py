@@ -267,3 +267,47 @@ def test_item_matrix_times_row(table, ratings, busy):
         got.setdefault(r["user_id"], []).append((-r["score"], r["item_id"]))
     assert {u: [x for x, _ in v] for u, v in got.items()} == {u: pytest.approx([x for x, _ in v], abs=2e-6) for u, v in want.items() if v}
     assert sum([i for _, i in got[u]] == [i for _, i in want[u]] for u in got) > 0.9 * len(got)
+
+
+def test_pairs_are_streamed_to_parts_of_bounded_size(spark, monkeypatch):
+    """No task of the pair join sums up its pairs, and the number of parts follows the number of pairs."""
+    monkeypatch.setattr(overlap, "PAIRS", 50)
+    rows = [(u, i, 0.5 * (1 + (u + i) % 10)) for i in range(20) for u in range(i, i + 12)]
+    df = spark.createDataFrame(rows, "user_id bigint, item_id bigint, rating double")
+    pairs = overlap.co_rated(df, "user_id", "item_id")
+    assert pairs.select(F.spark_partition_id()).rdd.getNumPartitions() == 20 * 66 // 50 + 1
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_sum") < plan.index("REPARTITION_BY_NUM") and "partial_sum" not in plan[plan.index("REPARTITION_BY_NUM"):]
+
+
+def test_light_elements_are_not_looked_up_again(spark, monkeypatch):
+    """Ratings without hot users make no candidate table, and a Jaccard candidate that can't reach the threshold is dropped at once."""
+    written = {}
+
+    def noted(df, label="cut"):
+        written[label] = out = materialize(df, label)
+        return out
+
+    monkeypatch.setattr(overlap, "materialize", noted)
+    rows = [(u, (7 * u + 3 * j) % 90, 4.5) for u in range(40) for j in range(8)]
+    rc.co_liked(spark.createDataFrame(rows, "user_id bigint, item_id bigint, rating double"), 3).collect()
+    assert "pairs" not in written
+    # Sets of 30 that share their rarest element only, and two that are nearly equal.
+    sets = [(i, e) for i in range(20) for e in (0, *range(100 * i + 100, 100 * i + 129))]
+    sets += [(50, e) for e in range(5000, 5030)] + [(51, e) for e in range(5000, 5029)] + [(i, e) for i in range(52, 90) for e in range(5020, 5030)]
+    df = spark.createDataFrame(sets, "id bigint, elem bigint")
+    got = {(r.a, r.b) for r in overlap.jaccard_pairs(df, 0.9).collect() if r.a < 52 and r.b < 52}
+    assert got == {(50, 51)}
+
+
+@pytest.mark.parametrize("k", [1, 3])
+def test_bounds_keep_the_nearest_rows(spark, table, ratings, k):
+    """Rows that are too far away for an element's leading ones are dropped, and the nearest ones are still all there."""
+    rows = by(ratings, 0)
+    size = {u: sum((2 * x) ** 2 for x in r.values()) for u, r in rows.items()}
+    want = set()
+    for u, r in rows.items():
+        dots = {v: sum(4 * r[i] * s[i] for i in r.keys() & s.keys()) for v, s in rows.items() if v != u and r.keys() & s.keys()}
+        best = sorted(dots, key=lambda v: (-Fraction(int(dots[v]) ** 2, int(size[v])), v))[:k]
+        want |= {(u, v, n + 1) for n, v in enumerate(best)}
+    assert {tuple(r) for r in rc.nearest_rows(table, "user_id", "item_id", k).collect()} == want

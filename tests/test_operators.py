@@ -181,6 +181,36 @@ def test_grid_cells_are_bounded(spark):
     assert len(out) == 20 and sum(r.pairs for r in out) == 150_000 and max(r.most for r in out) < 160
 
 
+def test_grid_takes_few_large_cells(spark):
+    """Sides that fit in one cell are not sent once for every few thousand ids of the other."""
+    many = spark.range(300_000).select("id", F.lit(1).alias("idx"))
+    few = spark.range(100).select("id", F.lit(1).alias("idx"))
+    cores = spark.sparkContext.defaultParallelism
+    assert scoring.shape(many, "id", few, "id", 2_000_000, 2_000_000) == (cores, 1)
+    assert scoring.shape(few, "id", few, "id", 2_000_000, 2_000_000) == (1, 1)
+    assert scoring.shape(many, "id", many, "id", 20_000, 150_000) == (15, 2)
+
+
+@pytest.mark.parametrize("fill", [0.02, 0.9])
+def test_chunks_of_a_cell_agree(spark, fill):
+    """Scores by entries and by matrices, in chunks of any size, against numpy."""
+    rng = np.random.default_rng(4)
+    x, w = ((rng.random((n, 50)) * (rng.random((n, 50)) < fill)).round(2) for n in (40, 60))
+    lists = lambda m, cols: spark.createDataFrame([(int(r), int(c), float(m[r, c])) for r, c in zip(*np.nonzero(m))], cols)
+    seen = [(u, (u + j) % 60) for u in range(40) for j in range(12)]
+    scores = np.round(x @ w.T, 6)
+    scores[tuple(np.array(seen).T)] = -np.inf
+    want = {(u, int(i), n + 1) for u in range(40) for n, i in enumerate(sorted(range(60), key=lambda i: (-scores[u, i], i))[:5]) if scores[u, i] > 0}
+    for ids, products in ((7, 50), (2_048, 4_000_000)):
+        left, right = (scoring._Side(*np.nonzero(m), m[m != 0], np.arange(50)) for m in (x, w))
+        for a in range(0, len(left.ids), ids):
+            for b in range(0, len(right.ids), ids):
+                there = x[np.ix_(left.ids[a : a + ids], range(50))] @ w[np.ix_(right.ids[b : b + ids], range(50))].T
+                assert np.allclose(scoring._dots(left.chunk(a, ids), right.chunk(b, ids), 50, products), there)
+        got = top_k_by_dot(lists(x, "id bigint, idx bigint, x double"), lists(w, "item_id bigint, idx bigint, w double"), 5, spark.createDataFrame(seen, "user_id bigint, item_id bigint"), ids=ids)
+        assert {(r.id, r.item_id, r["rank"]) for r in got.collect()} == want
+
+
 def test_svd_against_numpy(spark):
     rng = np.random.default_rng(0)
     a = sum(10.0 ** -i * np.outer(rng.normal(size=40), rng.normal(size=25)) for i in range(5))

@@ -427,6 +427,17 @@ def test_hot_word_in_a_long_log(spark, monkeypatch, span):
     assert {r["seq"]: r["n"] for r in search.visible_counts(df, search.page_words(df, held)).collect()} == {s: len(p) for s, p in want.items()}
 
 
+@pytest.mark.parametrize("together", [1, 3, 256])
+def test_answers_of_a_hot_word_in_parts(spark, together):
+    """The same answers for any number of queries that share a list; a query that stands twice names each page twice."""
+    log = [(2 * i, "add", None, f"p{i % 7}") for i in range(10)] + [(2 * i + 1, "find", "hot", None) for i in range(10)] + [(19, "find", "hot", None), (30, "find", "none", None)]
+    held = [("hot", f"p{i}", 1) for i in range(0, 7, 2)]
+    got = search.find_answers(spark.createDataFrame(log, "seq bigint, cmd string, word string, page string"), spark.createDataFrame(held, "word string, page string, pos bigint"), together)
+    want = {2 * i + 1: ", ".join(f"p{k}" for k in range(0, min(i, 6) + 1, 2) for _ in range(2 if i == 9 else 1)) for i in range(10)}
+    assert {r["seq"]: r["answer"] for r in got.collect()} == want | {30: "No webpage contains word none"}
+    assert got.count() == 11
+
+
 # --- projections ----------------------------------------------------------------------------------
 
 def test_projections_find_nine_in_ten(spark):
@@ -445,6 +456,28 @@ def test_projections_find_nine_in_ten(spark):
     assert len(found & nearest) >= 0.9 * len(nearest)
 
 
+def test_projections_in_a_grid(spark, monkeypatch):
+    """Only kept pairs leave a cell; several small cells, ids that stand twice and missing vectors give the bucket rule's rows."""
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.normal(size=4).round(1).tolist()) for i in range(60)]
+    rows += rows[:20] + [(100, None), (101, None), (120, None)]
+    points = spark.createDataFrame(rows, "id bigint, v array<double>")
+    asked = points.filter("id % 20 = 0")
+    assert projections.met(points, asked, 1.0, lambda rough, error, times: np.zeros(rough.shape, bool)).count() == 0
+
+    at = {i: [[np.floor(np.dot(v, projections.signs(4, t, p)) / 1.0) for p in range(2)] for t in range(3)] for i, v in rows if v}
+    far = {(a, b): np.linalg.norm(np.array(v) - np.array(w)) for a, v in rows if v and a % 20 == 0 for b, w in rows if w and a != b
+           if any(all(abs(x - y) <= 1 for x, y in zip(s, t)) for s, t in zip(at[a], at[b]))}
+    close = {a: sorted((round(d, 6), b) for (x, b), d in far.items() if x == a)[:3] for a in (0, 20, 40)}
+    for most in (50_000, 10):
+        monkeypatch.setattr(projections.met, "__defaults__", (*projections.met.__defaults__[:-1], most))
+        got = projections.within(points, asked, 1.0).collect()
+        assert sorted((r["a"], r["b"]) for r in got) == sorted(p for p, d in far.items() if d <= 1.0)
+        near = projections.nearest(points, asked, 3, 1.0).collect()
+        assert {a: [(round(r["distance"], 6), r["b"]) for r in sorted(near, key=lambda r: r["rank"]) if r["a"] == a] for a in close} == close
+        assert sorted((r["a"], r["b"]) for r in near if r["distance"] is None) == [(100, 101), (100, 120), (120, 100), (120, 101)]
+
+
 def test_recommenders_side_by_side(spark):
     lists = [("x", 1, 10, 1), ("x", 1, 11, 2), ("x", 2, 10, 1), ("y", 1, 12, 1), ("y", 3, 10, 1), ("x", 1, 12, 3)]
     truth = [(1, 11), (1, 12), (2, 99)]

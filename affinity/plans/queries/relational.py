@@ -10,6 +10,7 @@ from affinity.functions import arrays, hashing, scalars, texts
 from affinity.operators import ordered, relational
 from affinity.plans import views
 from affinity.plans.registry import query
+from affinity.sources.scratch import materialize
 
 I, T, L, P = views.INTERACTIONS_SQL, views.TAGS_SQL, views.LOGGED_SQL, views.POINTS_SQL
 ONE = "CAST(1 AS DOUBLE)"
@@ -195,11 +196,16 @@ def distinct_counts(spark, sf):
     return distinct("l_partkey", "parts").join(distinct("l_suppkey", "supps"), "l_returnflag")
 
 
+RATINGS = 200_000  # ratings whose tags are summed up in one task, about
+
+
 @query("weighted_avg", f"WITH {I}, {T} SELECT user_id, tag, round(sum(rating) / (SELECT sum(rating) FROM interactions x WHERE x.user_id = i.user_id), 6) AS share FROM interactions i JOIN tags USING (item_id) GROUP BY 1, 2")
 def weighted_avg(spark, sf):
-    ratings = views.interactions(spark, sf).select("user_id", "item_id", "rating")
+    ratings = materialize(views.interactions(spark, sf).select("user_id", "item_id", "rating"), "ratings")
     totals = ratings.groupBy("user_id").agg(F.sum("rating").alias("w"))
-    sums = ratings.join(views.item_tags(spark, sf), "item_id").groupBy("user_id", "tag").agg(F.sum("rating").alias("s"))
+    # Few ratings of a user share a tag, so they are summed up after the shuffle, in parts of about even size.
+    parts = max(spark.sparkContext.defaultParallelism, ratings.count() // RATINGS + 1)
+    sums = ratings.join(views.item_tags(spark, sf), "item_id").select("user_id", "tag", "rating").repartition(parts, "user_id", "tag").groupBy("user_id", "tag").agg(F.sum("rating").alias("s"))
     return sums.join(totals, "user_id").select("user_id", "tag", F.round(scalars.ratio(F.col("s"), F.col("w")), 6).alias("share"))
 
 

@@ -438,6 +438,23 @@ def test_answers_of_a_hot_word_in_parts(spark, together):
     assert got.count() == 11
 
 
+def test_pairs_of_a_hot_position_are_made_in_many_tasks(spark):
+    rows = [(f"a{i}", i % 2 + 5) for i in range(100)] + [("late", 30)]
+    pairs = relational.range_successors(spark.createDataFrame(rows, "author string, day bigint"), "author", "day", 3)
+    assert sorted((r["src"], r["dst"]) for r in pairs.collect()) == sorted((a, b) for a, d in rows for b, e in rows if d < e <= d + 3)
+    assert pairs.select(F.spark_partition_id().alias("p")).distinct().count() > 3
+
+
+def test_shares_are_summed_in_parts(spark, monkeypatch):
+    """The sums of (user, tag) are not held in the tasks of the join, and any size of the parts gives the same rows."""
+    from affinity.plans.queries import relational as queries
+
+    got = queries.weighted_avg(spark, SF)
+    assert "REPARTITION_BY_NUM" in got._jdf.queryExecution().toString()
+    monkeypatch.setattr(queries, "RATINGS", 500)
+    assert sorted(map(tuple, queries.weighted_avg(spark, SF).collect())) == sorted(map(tuple, got.collect()))
+
+
 # --- projections ----------------------------------------------------------------------------------
 
 def test_projections_find_nine_in_ten(spark):

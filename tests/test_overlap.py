@@ -311,3 +311,34 @@ def test_bounds_keep_the_nearest_rows(spark, table, ratings, k):
         best = sorted(dots, key=lambda v: (-Fraction(int(dots[v]) ** 2, int(size[v])), v))[:k]
         want |= {(u, v, n + 1) for n, v in enumerate(best)}
     assert {tuple(r) for r in rc.nearest_rows(table, "user_id", "item_id", k).collect()} == want
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.5, 0.8])
+def test_bitmaps_take_out_pairs_that_share_too_little(spark, monkeypatch, threshold):
+    """The same pairs with and without bitmaps; with them, sets that share one element only are not met."""
+    rng = random.Random(5)
+    sets = {i: {rng.randrange(60) for _ in range(rng.randrange(1, 30))} for i in range(40)}
+    sets |= {100 + i: set(sets[i]) - {min(sets[i])} | {1000 + i} for i in range(20)}
+    members = spark.createDataFrame([(i, f"e{e}") for i, s in sets.items() for e in s], "id bigint, elem string")
+    brute = {(a, b) for a, b in itertools.combinations(sorted(sets), 2) if Fraction(len(sets[a] & sets[b]), len(sets[a] | sets[b])) >= Fraction(str(threshold))}
+    for many in (10**9, -1):
+        monkeypatch.setattr(overlap, "MANY", many)
+        assert {(r["a"], r["b"]) for r in overlap.jaccard_pairs(members, threshold).collect()} == brute
+    one = spark.createDataFrame([(i, f"x{i}-{j}") for i in range(30) for j in range(5)] + [(i, "common") for i in range(30)], "id bigint, elem string").withColumn("x", F.lit(1))
+    met = overlap.shared_sums(one, {"shared": lambda x, y: F.lit(1)}, need=lambda n: F.lit(1), least=lambda n, m: F.lit(5))
+    assert met.count() == 0
+
+
+def test_only_found_ids_are_looked_up_again(spark, monkeypatch):
+    """Shares that were left out are added for the ids of found pairs; other ids' members are not sent again."""
+    written = {}
+
+    def keeping(df, label="cut"):
+        written[label] = materialize(df, label)
+        return written[label]
+
+    monkeypatch.setattr(overlap, "materialize", keeping)
+    rows = [(i, f"hot{j}") for i in range(30) for j in range(3)] + [(i, f"own{i}-{j}") for i in range(30) for j in range(4)] + [(i, f"rare{j}") for i in (3, 4) for j in range(9)]
+    got = overlap.jaccard_pairs(spark.createDataFrame(rows, "id bigint, elem string"), 0.5).collect()
+    assert [(r["a"], r["b"], r["shared"]) for r in got] == [(3, 4, 12)]
+    assert {r["id"] for r in written["found"].collect()} == {3, 4}

@@ -8,7 +8,7 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
-from affinity.operators import overlap, recommend as rc, signatures as sg
+from affinity.operators import explain, overlap, recommend as rc, relational, signatures as sg
 from affinity.sources.scratch import materialize
 
 
@@ -342,3 +342,51 @@ def test_only_found_ids_are_looked_up_again(spark, monkeypatch):
     got = overlap.jaccard_pairs(spark.createDataFrame(rows, "id bigint, elem string"), 0.5).collect()
     assert [(r["a"], r["b"], r["shared"]) for r in got] == [(3, 4, 12)]
     assert {r["id"] for r in written["found"].collect()} == {3, 4}
+
+
+def near_of(spark, table):
+    return materialize(rc.nearest(rc.user_similarities(table), 5), "near")
+
+
+def test_neighbour_rows_are_dealt_in_bounded_parts(spark, table, monkeypatch):
+    """More rows make more tasks, not larger ones, and the same results."""
+    sims, near = materialize(rc.user_similarities(table), "sims"), near_of(spark, table)
+    pairs = table.filter("(user_id + item_id) % 5 = 0").select("user_id", "item_id")
+    recs = materialize(rc.recommend_centred(near, table, 3), "recs")
+    jobs = {
+        "recs": lambda: rc.recommend_centred(near, table, 3), "unseen": lambda: rc.unseen_by_raters(sims, table, 3, 2),
+        "predicted": lambda: rc.predict_centred(pairs, near, table), "why": lambda: explain.neighbour_reasons(recs, near, table, 2)}
+    plain = {name: sorted(map(str, job().collect())) for name, job in jobs.items()}
+    monkeypatch.setattr(relational, "PART_ROWS", 10)
+    dealt, parts = relational.dealt, []
+
+    def watched(df, rows, *keys, **how):
+        out = dealt(df, rows, *keys, **how)
+        n = df.count()
+        assert rows == n, "the parts are planned by the true number of rows"
+        parts.append(out.rdd.getNumPartitions())
+        assert parts[-1] >= n // 10
+        return out
+
+    monkeypatch.setattr(rc, "dealt", watched)
+    monkeypatch.setattr(explain, "dealt", watched)
+    assert {name: sorted(map(str, job().collect())) for name, job in jobs.items()} == plain
+    assert len(parts) == 4 and min(parts) > 8
+
+
+def test_raters_that_are_no_neighbours_are_dropped_before_the_shuffle(spark):
+    """Users 0 and 1 are neighbours; of the 200 raters of the asked item only user 1 is let through, and none is lost without marks."""
+    known = spark.createDataFrame([(u, 7, 3.0) for u in range(1, 201)], "other bigint, item_id bigint, rating double")
+    sims = spark.createDataFrame([(0, 1, 0.5), (1, 0, 0.5)], "user_id bigint, other bigint, sim double")
+    asked = spark.createDataFrame([(0, 7, 200)], "user_id bigint, item_id bigint, n_raters bigint")
+    met = [r.other for r in rc.raters_met(asked, sims, known).collect()]
+    assert 1 in met and len(met) < 10
+    assert rc.raters_met(asked, sims, known, marks=0).count() == 200
+
+
+def test_items_without_an_id_are_never_seen(spark):
+    rows = [(0, 1, 4.0), (0, 2, 2.0), (0, None, 3.0), (1, 1, 5.0), (1, 2, 1.0), (1, None, 4.5), (1, 3, 4.0)]
+    ratings = spark.createDataFrame(rows, "user_id bigint, item_id bigint, rating double")
+    near = spark.createDataFrame([(0, 1, 1.0, 1), (5, 1, 1.0, 1)], "id bigint, other bigint, sim double, rank bigint")
+    got = {(r.user_id, r.item_id): r.score for r in rc.recommend_centred(near, ratings, 5).collect()}
+    assert got == {(0, None): pytest.approx(3 + 4.5 - 14.5 / 4), (0, 3): pytest.approx(3 + 4 - 14.5 / 4)}

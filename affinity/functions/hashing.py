@@ -3,6 +3,10 @@ not change with the partitioning and plain SQL can reproduce them."""
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +20,20 @@ def hash32(*parts) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
+def hash32_each(part: str, values: Column) -> Column:
+    """``hash32`` of the part and each string of an array, equal strings of a batch being hashed once; made in Python, where :func:`texts.char_grams` leaves its arrays."""
+    class Draws(dict):
+        def __missing__(self, value: str) -> int:
+            self[value] = x = int(hashlib.md5(f"{part}:{value}".encode()).hexdigest()[:8], 16)
+            return x
+
+    def run(arrays: pd.Series) -> pd.Series:
+        draw = Draws().__getitem__
+        return pd.Series([None if a is None else np.fromiter(map(draw, a), np.int64, len(a)) for a in arrays], dtype=object)
+
+    return F.pandas_udf(run, "array<bigint>")(values)
+
+
 def uniform(*parts) -> Column:
     """A draw from the open interval (0, 1)."""
     return (hash32(*parts) + F.lit(0.5)) / F.lit(float(DRAW_RANGE))

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from affinity.functions import arrays, scalars, texts
+from affinity.functions import arrays, hashing, scalars, texts
 from affinity.operators import cluster, evaluate as ev, explain, factor, graph, ordered, policy, projections, relational, search
 from affinity.operators import scoring
 from affinity.operators.scoring import top_k_by_dot
@@ -74,6 +74,25 @@ def test_grams(spark):
     assert sorted(row[0]) == ["ab", "bc", "ca"] and sorted(row[1]) == ["be to", "to be"] and row[2] == [] and row[3] == []
 
 
+@pytest.mark.parametrize("k", [1, 2, 3, 4])
+def test_char_grams_of_any_text(spark, k):
+    """All code points, short and empty texts and nulls; each gram once, hashed as SQL hashes it."""
+    given = ["abcabcab", "ä😀x😀x\U0010ffffé\x00a\n\n\n", "ab", "", None, " " * 50]
+    wanted = [None if t is None else {t[i : i + k] for i in range(len(t) - k + 1)} for t in given]
+    df = spark.createDataFrame(list(enumerate(given)), "id int, t string").repartition(1)
+    grams = texts.char_grams(F.col("t"), k)
+    rows = df.select("id", grams.alias("g"), hashing.hash32_each("g", grams).alias("h"), F.transform(grams, lambda x: hashing.hash32("g", x)).alias("plain")).orderBy("id").collect()
+    assert [None if r.g is None else set(r.g) for r in rows] == wanted
+    assert all(r.g is None or len(r.g) == len(set(r.g)) for r in rows)
+    assert [r.h for r in rows] == [r.plain for r in rows]
+
+
+def test_char_grams_are_not_made_of_arrays_of_single_characters(spark, capsys):
+    spark.createDataFrame([("abc",)], "t string").select(texts.char_grams(F.col("t"), 3)).explain()
+    plan = capsys.readouterr().out
+    assert "split(" not in plan and "zip_with" not in plan
+
+
 def test_scalar_guards(spark):
     row = spark.range(1).select(
         scalars.lsh_probability(F.lit(0.8), F.lit(8), F.lit(20)), scalars.lsh_threshold(F.lit(8.0), F.lit(20.0)), scalars.ratio(F.lit(1.0), F.lit(0.0)),

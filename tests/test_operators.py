@@ -1,6 +1,7 @@
 """Operators on small fixtures with known or brute-force answers."""
 
 import random
+import time
 
 import numpy as np
 import pandas as pd
@@ -13,7 +14,7 @@ from affinity.operators import scoring
 from affinity.operators.scoring import top_k_by_dot
 from affinity.plans import views
 from affinity.sources import files
-from affinity.sources.scratch import materialize, materialize_bucketed, scratch_root
+from affinity.sources.scratch import FREED, materialize, materialize_bucketed, scratch_root
 
 SF = "/root/testdata/sf0.001"
 
@@ -60,6 +61,21 @@ def test_scratch_uses_the_configured_folder(spark):
     assert materialize(df).dtypes == df.dtypes
 
 
+@pytest.mark.parametrize("cut", [materialize, lambda df: materialize_bucketed(df, ["k"])])
+def test_scratch_leaves_no_shuffle_files(spark, cut):
+    held = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")
+    files = lambda: {x for x in held().split() if "/shuffle_" in x}
+    setting = spark.conf.get(FREED)
+    before = files()
+    out = cut(spark.range(1000).selectExpr("id % 7 AS k").repartition(3, "k").groupBy("k").count())
+    until = time.time() + 20
+    while files() - before and time.time() < until:  # they go in the background
+        time.sleep(0.2)
+    assert not files() - before
+    assert spark.conf.get(FREED) == setting
+    assert {r["k"]: r["count"] for r in out.collect()} == {k: len(range(k, 1000, 7)) for k in range(7)}
+
+
 def test_metadata_stops_at_the_line_end(spark):
     text = "Title: A Book\nRelease Date: May 1, 1987\nlanguage:  English\nEncoding: ASCII\nby Ann B.\n*** START OF IT ***body*** END OF IT ***"
     row = spark.createDataFrame([(text,)], "t string").select(

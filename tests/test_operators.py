@@ -246,6 +246,37 @@ def test_chunks_of_a_cell_agree(spark, fill):
         assert {(r.id, r.item_id, r["rank"]) for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("floor", [0.0, -np.inf])
+def test_most_scores_are_only_compared_with_a_bound(monkeypatch, floor):
+    """Of the chunks of a cell few are ranked, with many ties and seen pairs; the lists are those of all scores."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 4, (50, 12)) * 0.5
+    w = (rng.random((4_000, 12)) < 0.3) * 0.25
+    seen = np.unique(np.stack([rng.integers(0, 50, 3_000), rng.integers(0, 400, 3_000)], axis=1), axis=0)
+    scores = np.round(x @ w.T, 6)
+    scores[tuple(seen.T)] = -np.inf
+    want = [(u, int(i), scores[u, i]) for u in range(50) for i in np.lexsort((np.arange(4_000), -scores[u]))[:6] if scores[u, i] > floor]
+    ranked = []
+    monkeypatch.setattr(scoring, "best_of_rows", lambda *args, of=scoring.best_of_rows: ranked.append(1) or of(*args))
+    # Each id has an entry in every dimension, as ids without entries are no part of a side.
+    users, items = (scoring._Side(np.repeat(np.arange(len(m)), 12), np.tile(np.arange(12), len(m)), m.ravel(), np.arange(12)) for m in (x, w))
+    got = scoring._best_of_cell(users, items, 12, 6, seen[:, 0], seen[:, 1], 6, floor, 100)
+    assert sorted(zip(*(c.tolist() for c in got)), key=lambda r: (r[0], -r[2], r[1])) == want
+    assert len(ranked) < 10
+
+
+def test_bounds_allow_for_single_precision():
+    """Scores that differ in the sixth place only are told apart, at any size."""
+    rng = np.random.default_rng(6)
+    x = np.array([[1.0, 1.0], [300.0, 300.0], [-1.0, 2.0]])
+    w = 1.0 + rng.integers(0, 50, (1_000, 2)) * 1e-6
+    users, items = (scoring._Side(np.repeat(np.arange(len(m)), 2), np.tile(np.arange(2), len(m)), m.ravel(), np.arange(2)) for m in (x, w))
+    got = scoring._best_of_cell(users, items, 2, 4, np.zeros(0, np.int64), np.zeros(0, np.int64), 6, -np.inf, 10)
+    scores = np.round(x @ w.T, 6)
+    want = [(u, int(i)) for u in range(3) for i in np.lexsort((np.arange(1_000), -scores[u]))[:4]]
+    assert list(zip(got[0].tolist(), got[1].tolist())) == want
+
+
 def test_svd_against_numpy(spark):
     rng = np.random.default_rng(0)
     a = sum(10.0 ** -i * np.outer(rng.normal(size=40), rng.normal(size=25)) for i in range(5))
@@ -284,6 +315,21 @@ def test_surrogate_recovers_a_linear_model(spark):
         assert want is None or r["weight"] == pytest.approx(want, rel=0.02)
 
 
+def test_linear_arms_rank_few_blocks(spark):
+    """Many arms in small blocks, of which most are only compared with the bounds of the contexts; the lists are those of one block."""
+    rng = np.random.default_rng(8)
+    contexts = spark.createDataFrame([(u, [float(v) for v in rng.random(4).round(2)]) for u in range(30)], "user_id bigint, x array<double>").cache()
+    log = [(int(u), int(a), float(rng.choice([-1, 1]))) for a in range(600) for u in rng.choice(30, 4)]
+    rewards = spark.createDataFrame(log, "user_id bigint, arm bigint, reward double")
+    small, one = (sorted(map(tuple, policy.linear_arms(contexts, rewards, 4, k=3, block=block).collect())) for block in (20, 1_000))
+    assert small == one and len(one) == 90
+    models = {r.arm: (np.array(r.theta), np.array(r.inverse).reshape(4, 4)) for r in policy.arm_models(contexts, rewards, 4).collect()}
+    for user in contexts.collect():
+        x = np.array(user.x)
+        best = sorted((-round(float(x @ t + 0.5 * np.sqrt(x @ a @ x)), 6), arm) for arm, (t, a) in models.items())[:3]
+        assert [(r[1], pytest.approx(-r[2], abs=2e-6)) for r in sorted(one, key=lambda r: r[3]) if r[0] == user.user_id] == [(arm, s) for s, arm in best]
+
+
 def test_linear_arms_against_numpy(spark):
     rng = np.random.default_rng(7)
     x = rng.random((20, 3)).round(3)

@@ -390,3 +390,51 @@ def test_items_without_an_id_are_never_seen(spark):
     near = spark.createDataFrame([(0, 1, 1.0, 1), (5, 1, 1.0, 1)], "id bigint, other bigint, sim double, rank bigint")
     got = {(r.user_id, r.item_id): r.score for r in rc.recommend_centred(near, ratings, 5).collect()}
     assert got == {(0, None): pytest.approx(3 + 4.5 - 14.5 / 4), (0, 3): pytest.approx(3 + 4 - 14.5 / 4)}
+
+
+# --- room that the pair join takes ------------------------------------------------------------
+
+def test_elements_travel_as_numbers(spark, monkeypatch):
+    """Texts are numbered before members are written and joined; the pairs are those of the texts."""
+    written = {}
+    monkeypatch.setattr(overlap, "materialize", lambda df, label="cut", of=overlap.materialize: written.setdefault(label, dict(df.dtypes)) and of(df, label))
+    rng = random.Random(5)
+    sets = {d: {f"a rather long element {rng.randint(0, 30)}" for _ in range(20)} | {f"own {d}"} for d in range(30)}
+    rows = [(d, e) for d, s in sets.items() for e in s] + [(None, "a rather long element 1"), (3, None)]
+    got = {(r.a, r.b): (r.shared, r.n_a, r.n_b) for r in overlap.jaccard_pairs(spark.createDataFrame(rows, "id bigint, elem string"), 0.4).collect()}
+    sets[3] = sets[3] | {None}
+    want = {(a, b): (len(sets[a] & sets[b]), len(sets[a]), len(sets[b])) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.4 * len(sets[a] | sets[b])}
+    assert got == want and want
+    assert written["members"]["elem"] == written["counted"]["elem"] == "bigint"
+
+
+@pytest.mark.parametrize("modulus", [None, 101])
+def test_signatures_of_runs_of_members(spark, monkeypatch, modulus):
+    """A task hashes its members in runs; ids over several runs, without a number or without an id give the smallest hashes."""
+    monkeypatch.setattr(sg, "MEMBERS", 7)
+    monkeypatch.setattr(sg, "HASHES", 16)
+    rng = random.Random(6)
+    rows = [(rng.choice([1, 2, 3, 40, None]), rng.choice([None, rng.randint(-5, 2**40)])) for _ in range(200)] + [(77, None)]
+    family = sg.coefficients(5)
+    got = {r.id: list(r.signature) for r in sg.minhash(spark.createDataFrame(rows, "id bigint, x bigint").repartition(3), F.col("x"), family, modulus=modulus).collect()}
+    want = {}
+    for d in {d for d, _ in rows}:
+        xs = [x % sg.PRIME for e, x in rows if e == d and x is not None]
+        want[d] = [min(((a * x + b) % sg.PRIME % (modulus or sg.PRIME) for x in xs), default=None) for a, b in family]
+    assert got == want
+    wide = sg.minhash(spark.createDataFrame(rows, "id bigint, x bigint"), F.col("x"), family)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in wide
+
+
+def test_sweep_signs_ids_of_pairs_only(spark, tmp_path, monkeypatch):
+    """Of ten texts two are alike: only they are signed, once."""
+    from affinity.plans.queries import similarity
+
+    words = [f"w{i}" for i in range(40)]
+    texts = [" ".join(words), " ".join(words[:-1])] + [" ".join(f"{w}x{d}" for w in words) for d in range(8)]
+    spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    signed = {}
+    monkeypatch.setattr(similarity, "materialize", lambda df, label="cut", of=similarity.materialize: signed.setdefault(label, of(df, label)))
+    got = similarity.minhash_sweep(spark, str(tmp_path)).collect()
+    assert [(r.a, r.b, r.jaccard) for r in got] == [(0, 1, round(38 / 39, 6))] and all(0.7 < r[f"est_{t}"] <= 1 for r in got for t in similarity.SWEEP[1:])
+    assert sorted(r.id for r in signed["signatures"].collect()) == [0, 1]
